@@ -66,41 +66,55 @@ def _ranges(chars: list[int]) -> str:
 
 
 @functools.lru_cache(maxsize=1)
-def _sets() -> dict[str, str]:
-    """The classes of characters, from the properties of each code point."""
+def _sets() -> dict[str, frozenset[str]]:
+    """The unstable characters, from the properties of each code point: marks that compose, compatibility forms, spaces, invisible ones."""
     marks, compat, spaces, hidden = [], [], [], []
     for n in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= n < 0xE000 or 0x20000 <= n < 0x2F800 or 0xE0200 <= n:
+        if 0xD800 <= n < 0xE000 or 0x20000 <= n < 0x2F800 or 0x30000 <= n < 0xE0000 or 0xE0200 <= n:
             continue
         c = chr(n)
         kind = U.category(c)
         if kind == "Cn" or kind == "Co":
             continue
         if _invisible(c):
-            hidden.append(n)
+            hidden.append(c)
         elif kind == "Zs":
-            spaces.append(n)
-        elif kind[0] == "M" and (U.combining(c) or not U.is_normalized("NFC", "e" + c)):
-            marks.append(n)
+            spaces.append(c)
+        elif kind[0] == "M" or 0x1161 <= n <= 0x1175 or 0x11A8 <= n <= 0x11C2:  # vowels and finals of Hangul compose as marks do
+            marks.append(c)
         elif not U.is_normalized("NFC", c) or not _keeps(c):
-            compat.append(n)
-        elif 0x1161 <= n <= 0x1175 or 0x11A8 <= n <= 0x11C2:
-            marks.append(n)  # vowels and finals of Hangul compose with what stands before
-    return {k: _ranges(v) for k, v in (("marks", marks), ("compat", compat), ("spaces", spaces), ("hidden", hidden))}
+            compat.append(c)
+    return {"marks": frozenset(marks), "compat": frozenset(compat), "spaces": frozenset(spaces), "hidden": frozenset(hidden), "all": frozenset([*marks, *compat, *spaces, *hidden])}
 
 
 #: Fixed value: what is drawn as emoji, with skin tones and flags; a joiner or selector next to one belongs to it.
-EMOJI = "\U0001f000-\U0001faff←-⇿⌀-⏿①-⓿■-➿⤀-⥿⬀-⯿〰〽㊗㊙©®™‼⁉ℹ0-9#*"
+_emoji = re.compile("[\U0001f000-\U0001faff\u2190-\u21ff\u2300-\u23ff\u24c2\u25a0-\u27bf\u2900-\u297f\u2b00-\u2bff\u3030\u303d\u3297\u3299\u00a9\u00ae\u2122\u203c\u2049\u21390-9#*\u200d\ufe0f\u20e3\U000e0020-\U000e007f]")
 
 
-@functools.lru_cache(maxsize=1)
-def _patterns() -> dict:
+def _class(chars) -> str:
+    return _ranges(sorted(map(ord, chars)))
+
+
+@functools.lru_cache(maxsize=10_000)
+def _unstable(found: frozenset[str]):
+    """Finds the unstable segments of a text that has just these unstable characters: a short class is searched fast."""
     s = _sets()
-    quick = re.compile(f"[{s['marks']}{s['compat']}{s['spaces']}{s['hidden']}Ͱ-ԯᲀ-ᲈἀ-῿ⷠ-ⷿꙀ-ꚟ]")
-    unstable = re.compile(f"[^{s['marks']}{s['spaces']}{s['hidden']}\\s]?[{s['marks']}{s['compat']}][{s['marks']}{s['compat']}]*|[{s['spaces']}]|[{s['hidden']}]+")
-    # letters and their marks, and hidden characters between them, make one word
-    word = re.compile(f"[^\\W\\d_](?:[^\\W\\d_]|[{s['marks']}])*")
-    return {"quick": quick, "unstable": unstable, "word": word, "hidden": re.compile(f"[{s['hidden']}]"), "mark": re.compile(f"[{s['marks']}]"), "compat": re.compile(f"[{s['compat']}]"), "emoji": re.compile(f"[{EMOJI}‍️⃣\U000e0020-\U000e007f]")}
+    turning = found & (s["marks"] | s["compat"])
+    alone = found & s["spaces"]
+    hidden = found & s["hidden"]
+    parts = []
+    if turning:
+        parts.append(f"[^\\s{_class(found)}]?[{_class(turning)}]+")
+    if alone:
+        parts.append(f"[{_class(alone)}]")
+    if hidden:
+        parts.append(f"[{_class(hidden)}]+")
+    return re.compile("|".join(parts))
+
+
+@functools.lru_cache(maxsize=10_000)
+def _words(marks: frozenset[str]):
+    return re.compile(f"[^\\W\\d_](?:[^\\W\\d_]|[{_class(marks)}])*" if marks else "[^\\W\\d_]+")
 
 
 #: Letters that stand beside any script without being taken for another letter.
@@ -170,15 +184,15 @@ def mixed(word: str) -> bool:
     return len({script(c) for c in word} - {*_ANY}) > 1
 
 
-def _hidden(run: str, before: str, after: str, p: dict, reasons: set | None) -> str:
+def _hidden(run: str, before: str, after: str, reasons: set | None) -> str:
     """What stays of a run of invisible characters: joiners and selectors that belong to an emoji."""
     out = ""
     for n, c in enumerate(run):
         nxt = run[n + 1 : n + 2] or after
-        drawn = bool(before) and bool(p["emoji"].match(before))
+        drawn = bool(before) and bool(_emoji.match(before))
         if before in "0123456789#*":
             drawn = drawn and c in _SELECTORS and nxt == _KEYCAP
-        if drawn and (c in _SELECTORS or ord(c) >= 0xE0020 or c == _JOINER and nxt and p["emoji"].match(nxt) and nxt not in "0123456789#*"):
+        if drawn and (c in _SELECTORS or ord(c) >= 0xE0020 or c == _JOINER and nxt and _emoji.match(nxt) and nxt not in "0123456789#*"):
             out += c
             before = c
         elif reasons is not None:
@@ -186,50 +200,55 @@ def _hidden(run: str, before: str, after: str, p: dict, reasons: set | None) ->
     return out
 
 
-def _segment(m: re.Match, text: str, p: dict, reasons: set | None) -> str:
-    s = m.group()
-    if p["hidden"].match(s):
-        return _hidden(s, text[: m.start()][-1:], text[m.end() : m.end() + 1], p, reasons)
-    if len(s) == 1 and U.category(s) == "Zs":
+def _segment(m: re.Match, text: str, reasons: set | None) -> str:
+    s, sets = m.group(), _sets()
+    if s[0] in sets["hidden"]:
+        return _hidden(s, text[: m.start()][-1:], text[m.end() : m.end() + 1], reasons)
+    if s in sets["spaces"]:
         if reasons is not None:
             reasons.add("space")
         return " "
-    head, out = s, []
     new = U.normalize("NFC", s)
     if new != s and reasons is not None:
-        reasons.add("accent")
-    for c in new:
-        if p["compat"].match(c):
-            plain = U.normalize("NFKC", c)
-            if reasons is not None:
-                reasons.add("compatibility")
-            out.append(plain.replace("⁄", "/"))
-        else:
-            out.append(c)
-    done = U.normalize("NFC", "".join(out))
-    return done if done != head else head
+        reasons.add("accent" if sets["marks"].intersection(s) else "compatibility")
+    if sets["compat"].isdisjoint(new):
+        return new
+    if reasons is not None:
+        reasons.add("compatibility")
+    # the plain form of one character may be another that isn't plain yet, as with a wide ideographic space
+    return U.normalize("NFC", "".join(U.normalize("NFKC", c).replace("\u2044", "/") if c in sets["compat"] else c for c in new))
+
+
+#: Letters of the three scripts that share looks, as classes.
+_LATIN, _GREEK, _CYRILLIC = "A-Za-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u1e00-\u1eff", "\u0370-\u03ff\u1f00-\u1fff", "\u0400-\u052f\u1c80-\u1c8f\ua640-\ua69f"
+_border = re.compile(f"[{_LATIN}][{_GREEK}{_CYRILLIC}]|[{_GREEK}][{_LATIN}{_CYRILLIC}]|[{_CYRILLIC}][{_LATIN}{_GREEK}]")
 
 
 def consistent(text: str, reasons: set | None = None) -> str:
     """The one form of a text; reasons gets the kinds of change it needed."""
     if text.isascii():
         return text
-    p = _patterns()
-    if not p["quick"].search(text):
+    chars = set(text)
+    found = chars & _sets()["all"]
+    if found:
+        text = _unstable(frozenset(found)).sub(lambda m, t=text: _segment(m, t, reasons), text)
+        chars = set(text)
+    scripts = {script(c) for c in chars if c.isalpha()} - {*_ANY}
+    if len(scripts) < 2:
+        return text
+    marks = frozenset(chars & _sets()["marks"])
+    if scripts <= {"LATIN", "GREEK", "CYRILLIC"} and not marks and not _border.search(text):
         return text
-    new = p["unstable"].sub(lambda m: _segment(m, text, p, reasons), text)
-    if not new.isascii():
-
-        def word(m):
-            w = m.group()
-            if w.isascii() or not mixed(w):
-                return w
-            if reasons is not None:
-                reasons.add("script")
-            return one_script(w)
-
-        new = p["word"].sub(word, new)
-    return new
+
+    def word(m):
+        w = m.group()
+        if w.isascii() or not mixed(w):
+            return w
+        if reasons is not None:
+            reasons.add("script")
+        return one_script(w)
+
+    return _words(marks).sub(word, text)
 
 
 def canonical(df: DataFrame, text: str = "text", out: str = "text", reasons: str | None = None) -> DataFrame:

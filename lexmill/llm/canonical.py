@@ -230,9 +230,13 @@ def consistent(text: str, reasons: set | None = None) -> str:
         return text
     chars = set(text)
     found = chars & _sets()["all"]
-    if found:
-        text = _unstable(frozenset(found)).sub(lambda m, t=text: _segment(m, t, reasons), text)
-        chars = set(text)
+    while found:
+        new = _unstable(frozenset(found)).sub(lambda m, t=text: _segment(m, t, reasons), text)
+        if new == text:
+            break
+        # a mark may now stand behind a letter that an invisible character kept apart from it
+        text, chars = new, set(new)
+        found = chars & _sets()["all"]
     scripts = {script(c) for c in chars if c.isalpha()} - {*_ANY}
     if len(scripts) < 2:
         return text

@@ -3,7 +3,8 @@
 A text is cut into blocks; each block is read with the marks of HTML, Markdown, wiki and TeX that stand in it, and comes out as a heading,
 list item, code, formula, table row or paragraph without them. Whole pages go through two passes of block rules: first link density,
 length and stop-word density decide blocks as text or as furniture of the site as far as they can; then ambiguous short blocks inherit
-the label of the nearest decided neighbours, furniture winning a tie unless both agree on text. Texts that only hold remains keep all their blocks.
+the label of the nearest decided neighbours, furniture winning a tie unless both agree on text. Texts that only hold remains keep all their
+blocks; the lines that hold them are found by two passes too: decided by marks of one kind, else inheriting from the nearest decided line.
 
 Clean text: blocks apart by an empty line; headings as a line of their own, list items after "- ", code indented by four blanks, formulas
 as their source between dollar signs, table cells apart by a tab.
@@ -13,6 +14,7 @@ give equal rows; an empty table gives an empty table; columns besides key and te
 
 from __future__ import annotations
 
+import bisect
 import html
 import html.entities
 import re
@@ -52,7 +54,7 @@ _formula = r"\$\$[^$]+\$\$|\\\([^\n]*?\\\)|(?<!\\)\\\[(?!\d+(?:pt|em|ex|cm|mm)\]
 MARKS = {
     "html": re.compile(rf"{_tag}|{_scrap}|{_entity}", re.I | re.M),
     "markdown": re.compile(
-        r"^[ ]{0,3}\#{1,6}[ \t]+\S|^[ ]{0,3}={3,}[ \t\r]*$|^[ ]{0,3}(?:```|~~~)|^>[ ]?\S"
+        r"^[ ]{0,3}={3,}[ \t\r]*$|^[ ]{0,3}(?:```|~~~)|^>[ ]?\S"
         rf"|(?<![\w*\\])\*\*(?=[^\s*]){_inside.format('*')}(?<=[^\s*])\*\*(?!\*)|(?<![\w*\\])\*(?=[^\s*]){_inside.format('*')}(?<=[^\s*])\*(?![\w*])|(?<![\w\\])_(?=[^\W_]|[\"“«'’‘(¿¡]){_inside.format('_')}(?<=[^\s_])_(?!\w)"
         rf"|~~(?=\S){_inside.format('~')}(?<=\S)~~|!?\[[^\]\[]*\]\([^)\s]+(?:\s[^)\n]*)?\)|\[\^[^\]\s]+\]|^\[[^\]\n]+\]:\s|(?<!`)`(?=\S)[^`\n']*(?<=\S)`(?!`)"
         r"|^[ ]{0,3}\|?\s*:?-{3,}:?\s*(?:\|\s*:?-{3,}:?\s*)+\|?[ \t\r]*$", re.M),
@@ -66,17 +68,40 @@ KINDS = tuple(MARKS)
 _signs = {"html": "<&=", "markdown": "#=`~>*_[|", "wiki": "'[]{|=:<_", "latex": "\\$%{"}
 
 
+#: Marks that more than one kind has, with the kinds in order of likelihood: "# " opens a heading or an item of a numbered list.
+SHARED = ((re.compile(r"^[ ]{0,3}\#{1,6}[ \t]+\S", re.M), ("markdown", "wiki")),)
+_formulas_of = re.compile(_formula)
+
+
+def label_lines(text: str) -> dict[int, set[str]]:
+    """Lines with marks and their kinds, in two passes.
+
+    Pass 1 decides lines by marks that only one kind has; signs within a formula are no marks of Markdown or wiki. Pass 2: a line whose
+    marks several kinds share is ambiguous, and inherits its kind from the nearest decided line of one of them, else takes the likeliest."""
+    starts = [0, *(m.end() for m in re.finditer("\n", text))]
+    line = lambda at: bisect.bisect_right(starts, at)
+    decided: dict[int, set[str]] = {}
+    tex = [m.span() for m in _formulas_of.finditer(text)] if "$" in text or "\\" in text else []
+    for kind in KINDS:
+        if any(c in text for c in _signs[kind]):
+            for m in MARKS[kind].finditer(text):
+                if kind in ("html", "latex") or not any(a < m.end() and m.start() < b for a, b in tex):
+                    decided.setdefault(line(m.start()), set()).add(kind)
+    inherited: dict[int, str] = {}
+    for mark, kinds in SHARED:
+        for m in mark.finditer(text) if "#" in text else ():
+            n = line(m.start())
+            near = min((abs(n - x), x, k) for x, own in decided.items() for k in own if k in kinds) if any(not own.isdisjoint(kinds) for own in decided.values()) else None
+            inherited[n] = near[2] if near else kinds[0]
+    for n, k in inherited.items():
+        decided.setdefault(n, set()).add(k)
+    return decided
+
+
 def kinds_of(text: str) -> list[str]:
     """The kinds of markup of which the text holds marks."""
-    found = [k for k in KINDS if any(c in text for c in _signs[k]) and MARKS[k].search(text)]
-    if "latex" in found and "markdown" in found and re.search(r"\\[(\[$a-zA-Z]", text):
-        # signs of emphasis between formulas' dollars or in TeX's arguments are no Markdown
-        rest = re.sub(_formula, " ", text)
-        if not MARKS["markdown"].search(rest):
-            found.remove("markdown")
-    if "wiki" in found and "markdown" in found and all(m.group().lstrip()[0] == "#" for m in MARKS["markdown"].finditer(text)):
-        found.remove("markdown")  # numbered lists of a wiki
-    return found
+    found = set().union(*label_lines(text).values())
+    return [k for k in KINDS if k in found]
 
 
 @dataclass

@@ -14,8 +14,8 @@ from lexmill.scale import table
       SELECT key, string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' ') AS ws FROM works WHERE split = 'heldout' AND text IS NOT NULL),
     d AS (
       SELECT doc_id, string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' ') AS ws FROM documents WHERE text IS NOT NULL),
-    wl AS (SELECT key, list_filter(ws, x -> x <> '') AS ws FROM w),
-    dl AS (SELECT doc_id, list_filter(ws, x -> x <> '') AS ws FROM d),
+    wl AS (SELECT key, list_filter(ws, lambda x: x <> '') AS ws FROM w),
+    dl AS (SELECT doc_id, list_filter(ws, lambda x: x <> '') AS ws FROM d),
     wg AS (SELECT DISTINCT key, array_to_string(ws[i:i+7], ' ') AS g FROM wl, LATERAL (SELECT unnest(range(1, len(ws) - 6)) AS i)),
     dg AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+7], ' ') AS g FROM dl, LATERAL (SELECT unnest(range(1, len(ws) - 6)) AS i))
     SELECT key, doc_id, count(*) AS shared_runs FROM wg JOIN dg USING (g) GROUP BY key, doc_id HAVING count(*) >= 5

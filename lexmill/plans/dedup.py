@@ -317,3 +317,85 @@ def title_near_author(spark, d):
     a = l.filter(F.col("line").rlike("^[Bb]y [A-Z][a-z]+ [A-Z]")).select("path", F.col("n").alias("m"), F.regexp_extract("line", "^[Bb]y ([A-Z][a-z]+) [A-Z]", 1).alias("name"), F.explode(F.array(*[F.floor(F.col("n") / 6) + k for k in (-1, 0, 1)])).alias("cell"))
     t = l.filter(F.col("line").rlike("^[A-Z][^.!?]{2,60}$") & ~F.col("line").rlike("^[Bb]y ")).withColumn("cell", F.floor(F.col("n") / 6))
     return t.join(a, ["path", "cell"]).filter(F.abs(F.col("m") - F.col("n")) <= 6).select("path", F.col("line").alias("title"), "name").distinct()
+
+
+_B = _boilerplate_sql("h", "h <> 0 AND codes >= 4", 4, 0.005, 0.9)
+
+
+@query(f"""
+    WITH b AS ({_B}), {_UNITS},
+    m AS (SELECT z.*, b.h IS NOT NULL AS known FROM z LEFT JOIN b ON b.source = z.source AND b.h = z.h AND b.zone = z.zone),
+    hd AS (SELECT *, sum(CASE WHEN known THEN 0 ELSE uw END) OVER (PARTITION BY num ORDER BY i) AS loose, max(CASE WHEN known THEN 0 ELSE uw END) OVER (PARTITION BY num ORDER BY i) AS most FROM m WHERE zone = 'head'),
+    tl AS (SELECT *, sum(CASE WHEN known THEN 0 ELSE uw END) OVER (PARTITION BY num ORDER BY i DESC) AS loose, max(CASE WHEN known THEN 0 ELSE uw END) OVER (PARTITION BY num ORDER BY i DESC) AS most FROM m WHERE zone = 'tail'),
+    x AS (SELECT num, max(i) + 1 AS head_units FROM hd WHERE known AND loose <= 120 AND most <= 12 GROUP BY num), y AS (SELECT num, max(n) - min(i) AS tail_units FROM tl WHERE known AND loose <= 120 AND most <= 25 GROUP BY num),
+    a AS (SELECT num, max(n) AS n, bool_and(known) AS everything FROM m GROUP BY num)
+    SELECT num, CASE WHEN coalesce(head_units, 0) + coalesce(tail_units, 0) >= n AND NOT everything THEN 0 ELSE coalesce(head_units, 0) END AS head_units, CASE WHEN coalesce(head_units, 0) + coalesce(tail_units, 0) >= n AND NOT everything THEN 0 ELSE coalesce(tail_units, 0) END AS tail_units
+    FROM a LEFT JOIN x USING (num) LEFT JOIN y USING (num) WHERE head_units IS NOT NULL OR tail_units IS NOT NULL
+""")
+def strip_edges(spark, d):
+    """How many units at each edge are boilerplate: as far inward as a recognised unit has only few loose words between it and the edge.
+
+    A text that would be left empty without being all boilerplate is left alone. Windows run within the twelve units of an edge."""
+    b = stored(boilerplate_identical(spark, d)).select("source", "h", "zone", F.lit(True).alias("known"))
+    m = _units(spark, d).join(b, ["source", "h", "zone"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    m = stored(m.select("num", "i", "n", "uw", "zone", "known"))
+    loose = F.when(F.col("known"), 0).otherwise(F.col("uw"))
+
+    def edge(zone: str, order, most: int):
+        w = W.partitionBy("num").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+        e = m.filter(F.col("zone") == zone).withColumn("loose", F.sum(loose).over(w)).withColumn("most", F.max(loose).over(w))
+        return e.filter(F.col("known") & (F.col("loose") <= 120) & (F.col("most") <= most)).groupBy("num")
+
+    x = edge("head", F.col("i"), 12).agg((F.max("i") + 1).alias("head_units"))
+    y = edge("tail", F.desc("i"), 25).agg((F.max("n") - F.min("i")).alias("tail_units"))
+    a = m.groupBy("num").agg(F.max("n").alias("n"), F.bool_and("known").alias("everything"))
+    j = a.join(x, "num", "left").join(y, "num", "left").filter("head_units IS NOT NULL OR tail_units IS NOT NULL").fillna(0, ["head_units", "tail_units"])
+    empty = (F.col("head_units") + F.col("tail_units") >= F.col("n")) & ~F.col("everything")
+    return j.select("num", F.when(empty, 0).otherwise(F.col("head_units")).alias("head_units"), F.when(empty, 0).otherwise(F.col("tail_units")).alias("tail_units"))
+
+
+@query()
+def greedy_decide(spark, d):
+    """Keep, cut or drop by shared units (of two to six texts), higher kinds and priorities and longer texts first."""
+    from lexmill.operators.decide import decide
+
+    s = table(spark, d, "sources").select(F.col("name").alias("source"), F.when(F.col("kind") == "read", 2).when(F.col("kind") == "incoming", 1).otherwise(0).alias("k"), "priority")
+    own = table(spark, d, "files").filter("doc IS NOT NULL").join(F.broadcast(s), "source").groupBy(F.col("doc").alias("num")).agg(F.max(F.struct("k", "priority")).alias("o"))  # sources: 26 rows
+    docs = table(spark, d, "docs").join(own, "num")
+    nodes = docs.select(F.col("num").alias("id"), F.struct("o.k", "o.priority", "words", (-F.col("num")).alias("neg")).alias("rank"), "words", (F.col("o.k") == 0).alias("reference"))
+    u = table(spark, d, "docs").select("num", F.explode(F.arrays_zip("hashes", "unit_words")).alias("x")).select("num", F.col("x.hashes").alias("h"), F.col("x.unit_words").alias("w")).filter("h <> 0").dropDuplicates(["num", "h"])
+    m = stored(u.join(u.groupBy("h").agg(F.count("*").alias("c")).filter("c BETWEEN 2 AND 6").select("h"), "h"))
+    o = m.alias("x").join(m.alias("y"), F.expr("x.h = y.h AND x.num <> y.num")).select(F.col("x.num").alias("low"), F.col("y.num").alias("high"), F.col("x.h").alias("unit"), F.col("x.w").alias("words"))
+    return decide(nodes, o, (F.col("words") - F.col("covered") < 250) & (F.col("covered") >= 0.5 * F.col("words")))
+
+
+@query()
+def lookup_scores(spark, d):
+    """How much of each held-out work stands word for word in the documents."""
+    from lexmill.operators.lookup import lookup
+
+    return lookup(table(spark, d, "works").filter("split = 'heldout'"), table(spark, d, "documents"))[1]
+
+
+@query()
+def lookup_spans(spark, d):
+    from lexmill.operators.lookup import lookup
+
+    return lookup(table(spark, d, "works").filter("split = 'heldout'"), table(spark, d, "documents"))[0]
+
+
+@query("""
+    WITH r AS (SELECT key, split, words, substr(sha256('7:' || shelf || ':' || key), 1, 12) < '199999999999' OR coalesce(split = 'heldout', false) AS chosen FROM works),
+    w AS (SELECT key, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM works WHERE text IS NOT NULL), g AS (SELECT DISTINCT key, array_to_string(w[i:i + 7], ' ') AS g FROM w, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS i)),
+    t AS (SELECT DISTINCT g FROM g JOIN r USING (key) WHERE NOT chosen), c AS (SELECT g.key, count(*) AS shared FROM g JOIN r USING (key) JOIN t ON t.g = g.g WHERE chosen GROUP BY g.key)
+    SELECT r.key, coalesce(shared, 0) AS shared, CASE WHEN NOT chosen THEN 'train' WHEN coalesce(shared, 0) >= 5 THEN 'demoted' ELSE 'heldout' END AS verdict FROM r LEFT JOIN c USING (key)
+""")
+def heldout_demotion(spark, d):
+    """The held-out choice after its check against the training works: who shares five runs or more goes back to training."""
+    w = table(spark, d, "works")
+    r = w.select("key", (X.lot(F.concat_ws(":", F.lit("7"), "shelf", "key"), 0.1) | F.coalesce(F.col("split") == "heldout", F.lit(False))).alias("chosen"))
+    words = w.filter("text IS NOT NULL").select("key", F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)).alias("w"))
+    g = stored(words.select("key", F.explode(F.array_distinct(X.runs(F.col("w"), 8))).alias("g")).select("key", F.xxhash64("g").alias("g")).join(r, "key"))
+    c = g.filter("chosen").join(g.filter("NOT chosen").select("g").distinct(), "g", "left_semi").groupBy("key").agg(F.count("*").alias("shared"))
+    n = F.coalesce("shared", F.lit(0))
+    return r.join(c, "key", "left").select("key", n.alias("shared"), F.when(~F.col("chosen"), "train").when(n >= 5, "demoted").otherwise("heldout").alias("verdict"))

@@ -63,11 +63,6 @@ def hashed(shingles: Column) -> Column:
     return F.transform(shingles, lambda x: F.xxhash64(x))
 
 
-def minhash(hashes: Column, functions: int = 64) -> Column:
-    """The least value of each of `functions` seeded hashes; the share of equal places of two signatures estimates their Jaccard."""
-    return F.transform(F.sequence(F.lit(1), F.lit(functions)), lambda s: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, s))))
-
-
 def stop_share(words: Column, stops: Sequence[str] = ENGLISH) -> Column:
     """Share of stop words among the words; 0 for no words."""
     known = _array(stops)

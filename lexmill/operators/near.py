@@ -7,8 +7,11 @@ verified on the whole sets. No pair is lost and no element is left out for being
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.functions import text as X
 from lexmill.scale import salted_lookup, stored
@@ -50,3 +53,20 @@ def similar_pairs(sets: DataFrame, least: float = LEAST) -> DataFrame:
     shared = F.size(F.array_intersect("sa", "sb"))
     scored = left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (shared / (F.size("sa") + F.size("sb") - shared)).alias("jaccard"))
     return scored.filter(F.col("jaccard") >= least - 1e-12)
+
+
+_ODD = (np.random.default_rng(64).integers(1, 1 << 63, 64, np.uint64) << np.uint64(1)) | np.uint64(1)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def minhash(hashes: pd.Series) -> pd.Series:
+    """The least value of each of 64 seeded hashes of a set; the share of equal places of two signatures estimates their Jaccard."""
+
+    def least(h):
+        if h is None or not len(h):
+            return None
+        with np.errstate(over="ignore"):
+            x = np.asarray(h, np.int64).view(np.uint64)[:, None] * _ODD[None, :]
+            return (x ^ (x >> np.uint64(31))).min(axis=0).view(np.int64)
+
+    return hashes.map(least)

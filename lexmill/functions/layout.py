@@ -25,7 +25,7 @@ def _norm_word(w: str) -> tuple[str, ...]:
 
 def norm_words(text: str) -> list[str]:
     """Words for comparison: runs of letters and digits, glued over apostrophes, soft hyphens and hyphenated line ends, folded, without marks."""
-    text = re.sub(r"(?<=\w)[-‐]\n\s*(?=\w)", "", text)
+    text = re.sub(r"(?<=\w)[-‐]\n\s*(?=\w)", "", unicodedata.normalize("NFC", text))
     out: list[str] = []
     for w in _alnum.findall(_glue.sub("", text)):
         out += _norm_word(w)

@@ -308,14 +308,14 @@ def sliding_narrative(spark, d):
 
 @query("""
     WITH l AS (SELECT path, unnest(ls) AS line, generate_subscripts(ls, 1) AS n FROM (SELECT path, string_split(text, chr(10)) AS ls FROM files WHERE text IS NOT NULL)),
-    a AS (SELECT path, n, regexp_extract(line, '^[Bb]y ([A-Z][a-z]+) [A-Z]', 1) AS name FROM l WHERE regexp_matches(line, '^[Bb]y [A-Z][a-z]+ [A-Z]')), t AS (SELECT path, n, line FROM l WHERE regexp_matches(line, '^[A-Z][^.!?]{2,60}$') AND NOT regexp_matches(line, '^[Bb]y '))
+    a AS (SELECT path, n, regexp_extract(line, '^[Bb]y ([A-Z][a-z]+) [A-Z]', 1) AS name FROM l WHERE regexp_matches(line, '^[Bb]y [A-Z][a-z]+ [A-Z]')), t AS (SELECT path, n, line FROM l WHERE regexp_matches(line, '^[A-Z][^.!?]{2,60}\\z') AND NOT regexp_matches(line, '^[Bb]y '))
     SELECT DISTINCT t.path, t.line AS title, a.name FROM t JOIN a ON a.path = t.path AND abs(a.n - t.n) <= 6
 """)
 def title_near_author(spark, d):
     """Title lines with a byline within six lines: a band join within a file, by cells of six lines."""
     l = table(spark, d, "files").filter("text IS NOT NULL").select("path", F.posexplode(F.split("text", "\n")).alias("n", "line"))
     a = l.filter(F.col("line").rlike("^[Bb]y [A-Z][a-z]+ [A-Z]")).select("path", F.col("n").alias("m"), F.regexp_extract("line", "^[Bb]y ([A-Z][a-z]+) [A-Z]", 1).alias("name"), F.explode(F.array(*[F.floor(F.col("n") / 6) + k for k in (-1, 0, 1)])).alias("cell"))
-    t = l.filter(F.col("line").rlike("^[A-Z][^.!?]{2,60}$") & ~F.col("line").rlike("^[Bb]y ")).withColumn("cell", F.floor(F.col("n") / 6))
+    t = l.filter(F.col("line").rlike(r"^[A-Z][^.!?]{2,60}\z") & ~F.col("line").rlike("^[Bb]y ")).withColumn("cell", F.floor(F.col("n") / 6))
     return t.join(a, ["path", "cell"]).filter(F.abs(F.col("m") - F.col("n")) <= 6).select("path", F.col("line").alias("title"), "name").distinct()
 
 

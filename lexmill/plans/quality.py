@@ -208,14 +208,14 @@ def unused_rules(spark, d):
 @query("""
     WITH p AS (SELECT path, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM files WHERE text IS NOT NULL),
     w AS (SELECT path, n, trim(line) AS line, list_filter(regexp_split_to_array(trim(line), '\\s+'), lambda x: x <> '') AS ws FROM p)
-    SELECT path, CAST(n AS INTEGER) AS line_no, line FROM w WHERE len(ws) BETWEEN 1 AND 12 AND NOT regexp_matches(line, '[.!?,;:]$') AND len(list_filter(ws, lambda x: length(x) > 3)) > 0
-      AND len(list_filter(ws, lambda x: length(x) > 3 AND regexp_matches(x, '^[A-Z]'))) >= 0.6 * len(list_filter(ws, lambda x: length(x) > 3)) AND NOT regexp_matches(line, '^[IVXLC0-9. ]+$')
+    SELECT path, CAST(n AS INTEGER) AS line_no, line FROM w WHERE len(ws) BETWEEN 1 AND 12 AND NOT regexp_matches(line, '[.!?,;:]\\z') AND len(list_filter(ws, lambda x: length(x) > 3)) > 0
+      AND len(list_filter(ws, lambda x: length(x) > 3 AND regexp_matches(x, '^[A-Z]'))) >= 0.6 * len(list_filter(ws, lambda x: length(x) > 3)) AND NOT regexp_matches(line, '^[IVXLC0-9. ]+\\z')
 """)
 def heading_lines(spark, d):
     """Lines shaped like headings: few words, no end mark, most longer words capitalised, no bare numerals."""
     lines = table(spark, d, "files").filter("text IS NOT NULL").select("path", F.posexplode(F.split("text", "\n")).alias("n", "line")).withColumn("line", F.trim("line"))
     w = lines.withColumn("w", X.ws_words("line")).withColumn("long", F.filter("w", lambda x: F.length(x) > 3))
-    shaped = F.size("w").between(1, 12) & ~F.col("line").rlike("[.!?,;:]$") & (F.size("long") > 0) & (F.size(F.filter("long", lambda x: x.rlike("^[A-Z]"))) >= 0.6 * F.size("long")) & ~F.col("line").rlike("^[IVXLC0-9. ]+$")
+    shaped = F.size("w").between(1, 12) & ~F.col("line").rlike(r"[.!?,;:]\z") & (F.size("long") > 0) & (F.size(F.filter("long", lambda x: x.rlike("^[A-Z]"))) >= 0.6 * F.size("long")) & ~F.col("line").rlike(r"^[IVXLC0-9. ]+\z")
     return w.filter(shaped).select("path", (F.col("n") + 1).alias("line_no"), "line")
 
 
@@ -237,7 +237,7 @@ RATES = {
     WITH t AS (SELECT doc_id, lower(text) AS l, text, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS words FROM documents WHERE text IS NOT NULL),
     p AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: regexp_replace(x, '\\s', '', 'g') <> '') AS p FROM t)
     SELECT doc_id, words, {", ".join(f"CASE WHEN words > 0 THEN len(regexp_extract_all(l, '{p}')) * 1000.0 / words ELSE 0.0 END AS {n}" for n, p in RATES.items())},
-      len(p) AS paragraphs, len(list_filter(p, lambda x: regexp_matches(x, '^["“«]'))) AS speech_open, len(list_filter(p, lambda x: length(x) <= 60 AND NOT regexp_matches(x, '[.!?]$'))) AS short_open, len(list_filter(p, lambda x: regexp_matches(x, '^[A-Z][A-Za-z ]+:'))) AS labels
+      len(p) AS paragraphs, len(list_filter(p, lambda x: regexp_matches(x, '^["“«]'))) AS speech_open, len(list_filter(p, lambda x: length(x) <= 60 AND NOT regexp_matches(x, '[.!?]\\z'))) AS short_open, len(list_filter(p, lambda x: regexp_matches(x, '^[A-Z][A-Za-z ]+:'))) AS labels
     FROM t JOIN p USING (doc_id)
 """)
 def rate_features(spark, d):
@@ -246,7 +246,7 @@ def rate_features(spark, d):
     count = lambda f: F.size(F.filter("p", f))
     return t.select(
         "doc_id", "words", *[X.rate("l", p, F.col("words")).alias(n) for n, p in RATES.items()], F.size("p").alias("paragraphs"), count(lambda x: x.rlike('^["“«]')).alias("speech_open"),
-        count(lambda x: (F.length(x) <= 60) & ~x.rlike("[.!?]$")).alias("short_open"), count(lambda x: x.rlike("^[A-Z][A-Za-z ]+:")).alias("labels"),
+        count(lambda x: (F.length(x) <= 60) & ~x.rlike(r"[.!?]\z")).alias("short_open"), count(lambda x: x.rlike("^[A-Z][A-Za-z ]+:")).alias("labels"),
     )
 
 
@@ -266,7 +266,7 @@ _FEATURES = rate_features
     SELECT * FROM (WITH t AS (SELECT doc_id, lower(text) AS l, text, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS words FROM documents WHERE text IS NOT NULL),
     p AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: regexp_replace(x, '\\s', '', 'g') <> '') AS p FROM t)
     SELECT doc_id, words, """ + ", ".join(f"CASE WHEN words > 0 THEN len(regexp_extract_all(l, '{p}')) * 1000.0 / words ELSE 0.0 END AS {n}" for n, p in RATES.items()) + """,
-      len(p) AS paragraphs, len(list_filter(p, lambda x: regexp_matches(x, '^["“«]'))) AS speech_open, len(list_filter(p, lambda x: length(x) <= 60 AND NOT regexp_matches(x, '[.!?]$'))) AS short_open, len(list_filter(p, lambda x: regexp_matches(x, '^[A-Z][A-Za-z ]+:'))) AS labels
+      len(p) AS paragraphs, len(list_filter(p, lambda x: regexp_matches(x, '^["“«]'))) AS speech_open, len(list_filter(p, lambda x: length(x) <= 60 AND NOT regexp_matches(x, '[.!?]\\z'))) AS short_open, len(list_filter(p, lambda x: regexp_matches(x, '^[A-Z][A-Za-z ]+:'))) AS labels
     FROM t JOIN p USING (doc_id)))"""))
 def kind_classifier(spark, d):
     """Ordered hard rules, then weighted evidence: what speaks for an article less what speaks for a story."""

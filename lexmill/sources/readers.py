@@ -49,7 +49,9 @@ def decoded(raw: bytes | None, most: int = MOST_BYTES) -> tuple[str | None, str
 
 
 def read_texts(spark: SparkSession, folder: str, glob: str = "**/*.txt", most: int = MOST_BYTES) -> DataFrame:
-    """The files of a folder that match the glob, strictly decoded. Contents beyond `most` bytes aren't read."""
+    """The files of a folder that match the glob, strictly decoded. Contents beyond `most` bytes aren't read.
+
+    Spark's file reader doesn't hand on files of no bytes; they are to be told by a listing."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     base = "file:" + folder.rstrip("/") + "/" if "://" not in folder else folder.rstrip("/") + "/"
     rel = F.regexp_replace("path", "^" + re.escape(base).replace("file:", "file:/*(?=/)"), "")
@@ -206,7 +208,8 @@ def read_books(spark: SparkSession, folder: str) -> DataFrame:
                 except (KeyError, StopIteration, zipfile.BadZipFile, ElementTree.ParseError) as e:
                     found = [{"n": 0, "reason": f"broken: {type(e).__name__}"}]
                 rows += [{"path": path, "kind": kind, **x} for x in found]
-            yield pd.DataFrame(rows, columns=names)
+            out = pd.DataFrame(rows, columns=names).astype(object)
+            yield out.where(out.notna(), None)
 
     return raw.mapInPandas(run, schema)
 

@@ -31,8 +31,8 @@ SINGLE = ("latin-1", "cp1252", "iso8859-15", "cp1250", "iso8859-2", "cp1251", "k
 LEAST_RUNS, LEAST_FORMS, TIMES = 3, 5, 4
 #: Rows of a partition's local counts before they are handed on.
 LOCAL_FORMS = 300_000
-#: Blocks whose characters are taken over together: Latin-1, Latin Extended-A, Greek, Cyrillic, punctuation, currency, signs.
-BLOCKS = ((0xA0, 0xFF), (0x100, 0x17F), (0x384, 0x3CE), (0x400, 0x45F), (0x490, 0x491), (0x2010, 0x2044), (0x20A0, 0x20BF), (0x2116, 0x2122))
+#: Blocks whose characters are taken over together: Latin-1, Latin Extended-A, Greek, Cyrillic, spaces and punctuation, currency, signs.
+BLOCKS = ((0xA0, 0xFF), (0x100, 0x17F), (0x384, 0x3CE), (0x400, 0x45F), (0x490, 0x491), (0x2000, 0x2044), (0x20A0, 0x20BF), (0x2116, 0x2122))
 _high = re.compile(r"[^\x00-\x7f]")
 _lost = re.compile("[�\x80-\x84\x86-\x9f]")
 _split_word = re.compile(r"[^\s\x00-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -148,8 +148,8 @@ def _forms(files: DataFrame) -> DataFrame:
     return rows.groupBy("scope", "skeleton", "form").agg(F.sum("files").alias("files"))
 
 
-def learn(forms: DataFrame) -> tuple[list[str], set[str]]:
-    """The learned changes and the non-ASCII characters of clean twins, from stored forms. Both are bounded: by CHANGES and by Unicode."""
+def learn(forms: DataFrame) -> dict[str, set[str]]:
+    """The learned changes with the clean characters each was seen on, from stored forms; bounded by CHANGES and by Unicode."""
     twins = forms.filter("skeleton IS NOT NULL")
     hubs = twins.groupBy("scope", "skeleton").agg(F.max_by("form", F.struct("files", "form")).alias("clean"), F.count("*").alias("n")).filter("n > 1")
     pairs = twins.join(hubs, ["scope", "skeleton"]).filter("form <> clean")
@@ -167,34 +167,39 @@ def learn(forms: DataFrame) -> tuple[list[str], set[str]]:
     bare = forms.filter(r"scope = 'w' AND length(form) >= 4 AND NOT form RLIKE '[A-Za-z]'").select("form", "files")
     turned = _tried(bare, list(CHANGES))
     sound = bare.select(F.col("form").alias("restored"), F.col("files").alias("of"))
-    aligned = turned.join(sound, "restored").filter(F.col("of") >= F.col("files") * TIMES).select("change", F.col("restored").alias("run"))
-    votes = stored(pairs.select("form", "clean").mapInArrow(run, "change string, run string").unionByName(aligned))
-    support = {r["change"]: r for r in votes.groupBy("change").agg(F.count("*").alias("n"), F.countDistinct("run").alias("runs")).collect()}
-    learned = []
+    aligned = turned.join(sound, "restored").filter(F.col("of") >= F.col("files") * TIMES).select("change", F.col("restored").alias("run"), F.lit(True).alias("bare"))
+    votes = stored(pairs.select("form", "clean").mapInArrow(run, "change string, run string").withColumn("bare", F.lit(False)).unionByName(aligned))
+    support = {r["change"]: r for r in votes.groupBy("change").agg(F.count("*").alias("n"), F.countDistinct("run").alias("runs"), F.countDistinct(F.when(F.col("bare"), F.col("run"))).alias("bare")).collect()}
+    learned: dict[str, set[str]] = {}
     for t, r in sorted(support.items()):
         wrote, read = t.split(">")
         back = support.get(f"{read}>{wrote}")
-        if r["runs"] >= LEAST_RUNS and r["n"] >= LEAST_FORMS and (back is None or back["n"] < r["n"]):
-            learned.append(t)
-    chars = votes.select(F.explode(F.split("run", "")).alias("c")).filter("c <> ''").distinct().collect()
-    return learned, {r["c"] for r in chars}
+        # where the garbled form was the more frequent one, a change is seen backwards; the twins of bare words are told by many times more files
+        if r["runs"] >= LEAST_RUNS and r["n"] >= LEAST_FORMS and (back is None or back["n"] < r["n"] or r["bare"] >= LEAST_RUNS):
+            learned[t] = set()
+    chars = votes.filter(F.col("change").isin(*learned)).select("change", F.explode(F.split("run", "")).alias("c")).filter("c <> ''").distinct()
+    for r in chars.collect():
+        learned[r["change"]].add(r["c"])
+    return learned
 
 
 class Repair:
     """Restores lines by a table from garbled sequences to characters."""
 
-    def __init__(self, learned: list[str], chars: set[str]):
-        inventory = {c for c in chars if ord(c) > 0x9F}
-        for a, b in BLOCKS:
-            if any(a <= ord(c) <= b for c in chars) or a < 0x100 or a == 0x2010:
-                inventory |= {chr(n) for n in range(a, b + 1) if U.category(chr(n)) not in ("Cn", "Cc")}
+    def __init__(self, learned: dict[str, set[str]]):
         self.to: dict[str, str] = {}
-        for t in learned:
-            if t.startswith("utf-8>"):
-                for c in sorted(inventory):
-                    g = garble(c, t)
-                    if g and _high.search(g) and g != c:
-                        self.to.setdefault(g, c)
+        for t, seen in sorted(learned.items()):
+            if not t.startswith("utf-8>"):
+                continue
+            # a block is taken over as a whole once several of its characters were seen garbled this way; Latin-1 and punctuation go together
+            inventory = {c for c in seen if ord(c) > 0x9F}
+            for a, b in BLOCKS:
+                if sum(a <= ord(c) <= b for c in seen) >= 2 or (b == 0xFF or a == 0x2000) and any(0xA0 <= ord(c) <= 0xFF for c in seen):
+                    inventory |= {chr(n) for n in range(a, b + 1) if U.category(chr(n)) not in ("Cn", "Cc")}
+            for c in sorted(inventory):
+                g = garble(c, t)
+                if g and _high.search(g) and g != c:
+                    self.to.setdefault(g, c)
         by = sorted(self.to, key=lambda g: (-len(g), g))
         firsts: dict[str, list[str]] = {}
         for g in by:
@@ -219,8 +224,8 @@ class Repair:
 
 
 @functools.lru_cache(maxsize=4)
-def repair(learned: tuple[str, ...], chars: str) -> Repair:
-    return Repair(list(learned), set(chars))
+def repair(learned: tuple[tuple[str, str], ...]) -> Repair:
+    return Repair({t: set(chars) for t, chars in learned})
 
 
 def _tried(words: DataFrame, changes: list[str]) -> DataFrame:
@@ -252,13 +257,13 @@ def find_garbled(files: DataFrame) -> DataFrame:
     """path, line_no, text, restored of every line that wrong decoding left its signs in."""
     files = files.select("source", "path", "text").filter(F.col("text").isNotNull() & (F.col("text") != ""))
     forms = stored(_forms(files))
-    learned, chars = learn(forms)
-    swapped = _swapped_words(forms, learned)
-    kit = (tuple(learned), "".join(sorted(chars)))
+    learned = learn(forms)
+    swapped = _swapped_words(forms, list(learned))
+    kit = tuple((t, "".join(sorted(chars))) for t, chars in sorted(learned.items()))
     high = files.filter(r"text RLIKE '[^\\x00-\\x7f]'")
 
     def run(batches):
-        fix = repair(*kit)
+        fix = repair(kit)
         for batch in batches:
             rows = []
             for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

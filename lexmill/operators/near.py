@@ -70,3 +70,21 @@ def minhash(hashes: pd.Series) -> pd.Series:
             return (x ^ (x >> np.uint64(31))).min(axis=0).view(np.int64)
 
     return hashes.map(least)
+
+
+def contained_pairs(sets: DataFrame, least: float = LEAST) -> DataFrame:
+    """small, large, share: sets of which at least that share lies in another set that is no smaller, for class representatives.
+
+    Of a set held to that share by another, one of its rarest |s| - ceil(least |s|) + 1 elements lies in it: only these look for partners."""
+    sets = stored(sets)
+    elements = stored(sets.select("key", F.size("s").alias("n"), F.explode("s").alias("e")))
+    rarity = elements.groupBy("e").agg(F.count("*").alias("df"))
+    ranked = elements.join(rarity.filter("df > 1"), "e").groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("o"))
+    # elements that no other set has come first in the order, and take their part of the prefix
+    alone = F.col("n") - F.size("o")
+    keep = F.greatest(F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1 - alone, F.lit(0))
+    prefix = ranked.select("key", "n", F.explode(F.slice("o", 1, keep.cast("int"))).alias("x")).select("key", "n", "x.e")
+    meet = prefix.alias("x").join(elements.alias("y"), F.expr("x.e = y.e AND x.key <> y.key AND (x.n < y.n OR (x.n = y.n AND x.key < y.key))"))
+    pairs = stored(meet.select(F.col("x.key").alias("small"), F.col("y.key").alias("large")).distinct())
+    both = pairs.join(sets.select(F.col("key").alias("small"), F.col("s").alias("a")), "small").join(sets.select(F.col("key").alias("large"), F.col("s").alias("b")), "large")
+    return both.select("small", "large", (F.size(F.array_intersect("a", "b")) / F.size("a")).alias("share")).filter(F.col("share") >= least - 1e-12)

@@ -17,18 +17,18 @@ def _stream(spark, d):
 
 
 @query("""
-    SELECT time_bucket(INTERVAL 1 hour, ts) AS start, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 hour, any_value(ts)) + INTERVAL 1 hour <= (SELECT max(ts) FROM events) - INTERVAL 10 minute
+    SELECT time_bucket(INTERVAL 1 hour, ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 hour, any_value(ts)) + INTERVAL 1 hour <= (SELECT max(ts) FROM events) - INTERVAL 10 minute
 """)
 def stream_tumbling(spark, d):
     """Windows that the watermark has closed, put out once."""
-    return jobs.run_once(jobs.tumbling(_stream(spark, d)))
+    return jobs.run_once(jobs.tumbling(_stream(spark, d))).withColumn("total", F.round("total", 2))
 
 
 @query("""
-    WITH r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) SELECT user_id, CAST(ceil(k / 20.0) AS BIGINT) AS batch, count(*) AS n, sum(value) AS total FROM r GROUP BY 1, 2 HAVING count(*) = 20
+    WITH r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) SELECT user_id, CAST(ceil(k / 20.0) AS BIGINT) AS batch, count(*) AS n, round(sum(value), 2) AS total FROM r GROUP BY 1, 2 HAVING count(*) = 20
 """)
 def stream_count_windows(spark, d):
-    return jobs.run_once(jobs.count_windows(_stream(spark, d)))
+    return jobs.run_once(jobs.count_windows(_stream(spark, d))).withColumn("total", F.round("total", 2))
 
 
 @query("""

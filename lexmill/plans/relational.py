@@ -10,7 +10,7 @@ from lexmill.scale import table
 
 
 @query("""
-    SELECT n_name, extract(year FROM o_orderdate) AS year, sum(l_extendedprice * (1 - l_discount)) AS revenue, count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2
+    SELECT n_name, extract(year FROM o_orderdate) AS year, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2
 """)
 def revenue_by_nation(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("r"))
@@ -19,19 +19,19 @@ def revenue_by_nation(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("long").alias("year"))
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
-    return per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name", "year").agg(F.sum("r").alias("revenue"), F.sum("n").alias("lines"))
+    return per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name", "year").agg(F.round(F.sum("r"), 2).alias("revenue"), F.sum("n").alias("lines"))
 
 
 @query("""
-    SELECT l_returnflag, l_linestatus, sum(l_quantity) AS qty, sum(l_extendedprice) AS price, avg(l_discount) AS discount, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2
+    SELECT l_returnflag, l_linestatus, sum(l_quantity) AS qty, round(sum(l_extendedprice), 2) AS price, round(avg(l_discount), 6) AS discount, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2
 """)
 def pricing_summary(spark, d):
-    return table(spark, d, "lineitem").filter("l_shipdate <= TIMESTAMP '1998-09-02'").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("qty"), F.sum("l_extendedprice").alias("price"), F.avg("l_discount").alias("discount"), F.count("*").alias("n"))
+    return table(spark, d, "lineitem").filter("l_shipdate <= TIMESTAMP '1998-09-02'").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("qty"), F.round(F.sum("l_extendedprice"), 2).alias("price"), F.round(F.avg("l_discount"), 6).alias("discount"), F.count("*").alias("n"))
 
 
-@query("SELECT o_orderstatus, o_orderpriority, grouping(o_orderpriority) AS g, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
+@query("SELECT o_orderstatus, o_orderpriority, grouping(o_orderpriority) AS g, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
 def rollup_orders(spark, d):
-    return table(spark, d, "orders").rollup("o_orderstatus", "o_orderpriority").agg(F.grouping("o_orderpriority").cast("long").alias("g"), F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
+    return table(spark, d, "orders").rollup("o_orderstatus", "o_orderpriority").agg(F.grouping("o_orderpriority").cast("long").alias("g"), F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query("SELECT o_orderstatus, o_orderpriority, grouping(o_orderstatus, o_orderpriority) AS g, count(*) AS n FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)")
@@ -85,22 +85,22 @@ def range_band_join(spark, d):
 
 
 @query("""
-    WITH r AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER w AS k, sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS running,
-      o_totalprice - lag(o_totalprice) OVER w AS step, ntile(4) OVER w AS quarter FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))
+    WITH r AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER w AS k, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING), 2) AS running,
+      round(o_totalprice - lag(o_totalprice) OVER w, 2) AS step, ntile(4) OVER w AS quarter FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))
     SELECT * FROM r
 """)
 def windows_over_orders(spark, d):
     w = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     return table(spark, d, "orders").select(
-        "o_custkey", "o_orderkey", "o_totalprice", F.row_number().over(w).alias("k"), F.sum("o_totalprice").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("running"), (F.col("o_totalprice") - F.lag("o_totalprice").over(w)).alias("step"), F.ntile(4).over(w).alias("quarter")
+        "o_custkey", "o_orderkey", "o_totalprice", F.row_number().over(w).alias("k"), F.round(F.sum("o_totalprice").over(w.rowsBetween(W.unboundedPreceding, 0)), 2).alias("running"), F.round(F.col("o_totalprice") - F.lag("o_totalprice").over(w), 2).alias("step"), F.ntile(4).over(w).alias("quarter")
     )
 
 
 @query("""
-    SELECT c_mktsegment, sum(CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0 END) AS o, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) AS f, sum(CASE WHEN o_orderstatus = 'P' THEN o_totalprice ELSE 0 END) AS p
+    SELECT c_mktsegment, round(sum(CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0 END), 2) AS o, round(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END), 2) AS f, round(sum(CASE WHEN o_orderstatus = 'P' THEN o_totalprice ELSE 0 END), 2) AS p
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1
 """)
 def pivot_status(spark, d):
     o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     p = o.groupBy("c_mktsegment").pivot("o_orderstatus", ["O", "F", "P"]).agg(F.sum("o_totalprice"))
-    return p.fillna(0).select("c_mktsegment", F.col("O").alias("o"), F.col("F").alias("f"), F.col("P").alias("p"))
+    return p.fillna(0).select("c_mktsegment", *[F.round(x, 2).alias(x.lower()) for x in "OFP"])

@@ -16,9 +16,9 @@ def _events(spark, d):
     return table(spark, d, "events")
 
 
-@query("SELECT time_bucket(INTERVAL 1 hour, ts) AS start, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY 1, 2")
+@query("SELECT time_bucket(INTERVAL 1 hour, ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def events_tumbling(spark, d):
-    return _events(spark, d).groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
+    return _events(spark, d).groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
 @query("""
@@ -52,13 +52,13 @@ def liveness(spark, d):
 
 @query("""
     WITH r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events)
-    SELECT user_id, CAST(ceil(k / 20.0) AS BIGINT) AS batch, count(*) AS n, sum(value) AS total, count(*) = 20 AS full_batch FROM r GROUP BY 1, 2
+    SELECT user_id, CAST(ceil(k / 20.0) AS BIGINT) AS batch, count(*) AS n, round(sum(value), 2) AS total, count(*) = 20 AS full_batch FROM r GROUP BY 1, 2
 """)
 def batch_of_n(spark, d):
     """Tumbling count batches of 20, oldest first, the last one partial."""
     k = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id"))
     e = _events(spark, d).withColumn("batch", F.ceil(k / 20.0))
-    return e.groupBy("user_id", "batch").agg(F.count("*").alias("n"), F.sum("value").alias("total")).withColumn("full_batch", F.col("n") == 20)
+    return e.groupBy("user_id", "batch").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")).withColumn("full_batch", F.col("n") == 20)
 
 
 @query("""

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.plans.catalog import query
-from lexmill.scale import table
+from lexmill.scale import numbered, table
 
 _LONG_AGO = "TIMESTAMP '1900-01-01 00:00:00'"
 _STATE = f"(coalesce(updated, {_LONG_AGO}), coalesce(attempts, 0), coalesce(status, ''))"
@@ -196,8 +196,7 @@ def missing_parts(spark, d):
     SELECT id, source || '-' || lpad(CAST(row_number() OVER (PARTITION BY source ORDER BY id) AS VARCHAR), 4, '0') AS number FROM (SELECT DISTINCT id, source FROM jobs)
 """)
 def running_ids(spark, d):
-    k = F.row_number().over(W.partitionBy("source").orderBy("id"))
-    return table(spark, d, "jobs").select("id", "source").distinct().withColumn("k", k).select("id", F.concat_ws("-", "source", F.lpad(F.col("k").cast("string"), 4, "0")).alias("number"))
+    return numbered(table(spark, d, "jobs").select("id", "source").distinct(), ["source"], ["id"]).select("id", F.concat_ws("-", "source", F.lpad(F.col("k").cast("string"), 4, "0")).alias("number"))
 
 
 @query("""

@@ -399,3 +399,33 @@ def heldout_demotion(spark, d):
     c = g.filter("chosen").join(g.filter("NOT chosen").select("g").distinct(), "g", "left_semi").groupBy("key").agg(F.count("*").alias("shared"))
     n = F.coalesce("shared", F.lit(0))
     return r.join(c, "key", "left").select("key", n.alias("shared"), F.when(~F.col("chosen"), "train").when(n >= 5, "demoted").otherwise("heldout").alias("verdict"))
+
+
+@query("""
+    WITH p AS (SELECT key, unnest(string_split(text, chr(10))) AS passage FROM works WHERE split = 'heldout' AND text IS NOT NULL) SELECT DISTINCT key, doc_id FROM p JOIN documents ON contains(text, passage) WHERE len(string_split(passage, ' ')) >= 12
+""")
+def passage_search(spark, d):
+    """Documents that hold a paragraph of a held-out work character by character: words of the passage look documents up, containment is tested on those only.
+
+    A passage holds whole words between its first and last blank; any document that has the passage has their runs of five."""
+    p = table(spark, d, "works").filter("split = 'heldout' AND text IS NOT NULL").select("key", F.explode(F.split("text", "\n")).alias("passage")).filter(F.size(F.split("passage", " ")) >= 12)
+    split = lambda c: F.split(c, r"\s+")
+    pw = p.select("key", "passage", split("passage").alias("w")).select("key", "passage", F.xxhash64(F.array_join(F.slice("w", 2, 5), " ")).alias("h"))
+    docs = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", "text")
+    dw = docs.select("doc_id", split("text").alias("w")).select("doc_id", F.explode(F.array_distinct(X.hashed(X.runs(F.col("w"), 5)))).alias("h"))
+    hit = stored(dw.join(pw, "h").select("doc_id", "key", "passage"))
+    return docs.join(hit, "doc_id").filter(F.expr("contains(text, passage)")).select("key", "doc_id").distinct()
+
+
+@query()
+def settled_plans(spark, d):
+    """Plans with cuts settled: which units stay, which are left as remnants."""
+    from lexmill.operators.settle import settled
+
+    p = table(spark, d, "plan").filter("cuts IS NOT NULL").groupBy("path").agg(F.max_by("cuts", F.size("cuts")).alias("c"), F.first("source").alias("source"))
+    f = table(spark, d, "files").filter("text <> ''").select("path", F.filter(F.split("text", "\n"), lambda x: F.regexp_replace(x, r"\s", "") != "").alias("l"))
+    s = table(spark, d, "sources").select(F.col("name").alias("source"), "container")
+    words = lambda x: F.size(F.filter(F.split(x, r"\s+"), lambda w: w != ""))
+    units = F.transform("l", lambda x: F.struct(words(x).alias("words"), ((words(x) <= 12) & ~x.rlike(r"[.!?,;:]\z")).alias("heading"), x.alias("text")))
+    cuts = F.transform("c", lambda c: F.struct(c["units"][0].alias("a"), c["units"][1].alias("b")))
+    return settled(f.join(p, "path").join(F.broadcast(s), "source").select("path", units.alias("units"), cuts.alias("cuts"), "container"), "path")  # sources: 26 rows

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
 from lexmill.plans.catalog import query
-from lexmill.scale import table
+from lexmill.scale import numbered, table
 
 
 def _docs(spark, d):
@@ -420,8 +420,7 @@ def stratified_sample(spark, d):
 """)
 def systematic_sample(spark, d):
     """Every tenth document of a source."""
-    k = F.row_number().over(W.partitionBy("source").orderBy("doc_id"))
-    return table(spark, d, "documents").select("doc_id", "source").withColumn("k", k).filter("k % 10 = 0").select("doc_id", "source")
+    return numbered(table(spark, d, "documents").select("doc_id", "source"), ["source"], ["doc_id"]).filter("k % 10 = 0").select("doc_id", "source")
 
 
 @query("""

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.plans.catalog import query
-from lexmill.scale import table
+from lexmill.scale import carried, numbered, table
 
 
 def _events(spark, d):
@@ -56,8 +56,7 @@ def liveness(spark, d):
 """)
 def batch_of_n(spark, d):
     """Tumbling count batches of 20, oldest first, the last one partial."""
-    k = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id"))
-    e = _events(spark, d).withColumn("batch", F.ceil(k / 20.0))
+    e = numbered(_events(spark, d).select("user_id", "ts", "event_id", "value"), ["user_id"], ["ts", "event_id"]).withColumn("batch", F.ceil(F.col("k") / 20.0))
     return e.groupBy("user_id", "batch").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")).withColumn("full_batch", F.col("n") == 20)
 
 
@@ -100,11 +99,10 @@ def late_events(spark, d):
     SELECT p.event_id, c.event_id AS click FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT event_id, user_id, ts FROM events WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1) c ON p.user_id = c.user_id AND p.ts >= c.ts
 """)
 def as_of_join(spark, d):
-    """The newest click up to each purchase: both kinds in one order, the last click carried on. No row meets more than its own user's past."""
-    e = _events(spark, d).filter(F.col("event_type").isin("purchase", "click"))
-    order = W.partitionBy("user_id").orderBy("ts", F.when(F.col("event_type") == "click", 0).otherwise(1), "event_id").rowsBetween(W.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("event_type") == "click", F.col("event_id")), ignorenulls=True).over(order)
-    return e.withColumn("click", last).filter("event_type = 'purchase'").select("event_id", "click")
+    """The newest click up to each purchase: both kinds in one order, the last click carried on, over ranges of a user's rows where there are many."""
+    e = _events(spark, d).filter(F.col("event_type").isin("purchase", "click")).select("user_id", "ts", F.when(F.col("event_type") == "click", 0).otherwise(1).alias("late"), "event_id")
+    last = carried(e, ["user_id"], ["ts", "late", "event_id"], F.when(F.col("late") == 0, F.col("event_id")), "click")
+    return last.filter("late = 1").select("event_id", "click")
 
 
 @query("""
@@ -231,8 +229,7 @@ def chapter_verse(spark, d):
 """)
 def sessions_of_four(spark, d):
     """Sessions closed by a cap of turns, whatever the gaps."""
-    k = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id"))
-    e = _events(spark, d).withColumn("session", F.ceil(k / 4.0))
+    e = numbered(_events(spark, d).select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"]).withColumn("session", F.ceil(F.col("k") / 4.0))
     return e.groupBy("user_id", "session").agg(F.min("ts").alias("start"), F.max("ts").alias("finish"), F.count("*").alias("turns")).withColumn("closed", F.col("turns") == 4)
 
 

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A side is broadcast only if its stored rows number at most this many.
@@ -66,6 +67,41 @@ def salted_lookup(left: DataFrame, right: DataFrame, on: str, how: str = "inner"
     return lhs.join(rhs, [on, "_salt"], how).drop("_salt")
 
 
+def ranged(df: DataFrame, *order: str) -> DataFrame:
+    """A stored table cut into ranges of the order columns, with the number of its range as _range: rows of one key stay in order over the
+    ranges, and however many a key has, no task holds them all."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()))
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str = "k") -> DataFrame:
+    """df with the number of each row within its group, from 1, by the order columns; a group may hold any share of the rows.
+
+    Rows are numbered within ranges; each range begins where the counts of those before it end. Equal order values get any order."""
+    parts = ranged(df, *group, *order)
+    counts = parts.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(W.partitionBy(*group).orderBy("_range")) - F.col("_n")).drop("_n")
+    condition = None
+    own = parts.withColumn("_k", F.row_number().over(W.partitionBy(*group, "_range").orderBy(*order)))
+    b = before.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate([*group, "_range"])], "_before")
+    for i, c in enumerate([*group, "_range"]):
+        x = own[c].eqNullSafe(b[f"_g{i}"])
+        condition = x if i == 0 else condition & x
+    return own.join(b, condition).withColumn(name, F.col("_k") + F.col("_before")).select(*df.columns, name)
+
+
+def carried(df: DataFrame, group: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """df with the last non-null value up to each row of its group, by the order columns; a group may hold any share of the rows.
+
+    Within a range the value is carried on by a window; rows before a range's first value take the last one of the ranges before it."""
+    parts = ranged(df.withColumn("_v", value), *group, *order).withColumn("_o", F.struct(*order))
+    last = parts.filter("_v IS NOT NULL").groupBy(*group, "_range").agg(F.max_by("_v", "_o").alias("_l"))
+    held = parts.select(*group, "_range").distinct().join(last, [*group, "_range"], "left")
+    into = held.withColumn("_in", F.last("_l", ignorenulls=True).over(W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1))).drop("_l")
+    within = F.last("_v", ignorenulls=True).over(W.partitionBy(*group, "_range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    return parts.withColumn("_w", within).join(into, [*group, "_range"]).withColumn(name, F.coalesce("_w", "_in")).select(*df.columns, name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of the workbench, one Parquet file or folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")

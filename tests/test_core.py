@@ -329,3 +329,82 @@ class TestStreaming:
         assert jobs.run_once(jobs.without_repeats(jobs.read_events(spark, folder, 10), "10 hours")).count() == 12
         assert jobs.run_once(jobs.sessions(jobs.read_events(spark, folder, 10), "30 minutes")).count() > 0
         assert jobs.run_once(jobs.followed(jobs.read_events(spark, folder, 10), within="60 minutes")).columns == ["a_id", "b_id"]
+
+
+class TestSettle:
+    def test_headings_and_introductions_go_with_a_cut(self):
+        from lexmill.operators.settle import settle
+
+        units = [(300, False, "a story"), (40, False, "The editor speaks of the Bell here"), (3, True, "The Bell"), (2, True, "by Someone"), (1200, False, "x"), (300, False, "next"), (2, True, "Alone"), (500, False, "y")]
+        assert settle(units, [(4, 5)]) == ([(0, 2), (5, 8)], [])
+        assert settle([units[1], *units[2:]], [(3, 4)], container=True) == ([(4, 7)], [])
+        assert settle(units, [(4, 6), (7, 8)]) == ([(0, 2)], [(6, 7)])
+        assert settle(units, []) == ([(0, 8)], []) and settle([], [(0, 3)]) == ([], [])
+
+    def test_table(self, spark):
+        from lexmill.operators.settle import settled
+
+        df = spark.createDataFrame([(1, [(100, False, "x"), (5, False, None)], [(0, 1)], None), (2, None, None, False)], "num int, units array<struct<words:int,heading:boolean,text:string>>, cuts array<struct<a:int,b:int>>, container boolean")
+        assert {r.num: (r.keep, r.remnants) for r in settled(df).collect()} == {1: ([[1, 2]], []), 2: ([], [])}
+
+    def test_fan_texts(self, spark):
+        from lexmill.operators.settle import cleaned_fan_texts, fan_clean
+
+        assert fan_clean("Disclaimer: not mine\nRating: T\n\nIt began.\n---\n-----\nIt went on.\nA/N: please review") == "It began.\n* * *\nIt went on."
+        assert fan_clean("") == "" and cleaned_fan_texts(spark.createDataFrame([("a", None)], "path string, text string"), "path").first().text is None
+
+    def test_spaced_and_paths(self, spark):
+        from lexmill.operators.settle import first_seen_paths, longest_prefixes, spaced
+
+        df = spark.createDataFrame([("f", x) for x in (1, 5, 12, 14, 20, 40, 41)] + [("g", 3)], "file string, line int")
+        assert sorted((r.file, r.line) for r in spaced(df, "file", "line", 12).collect()) == [("f", 1), ("f", 14), ("f", 40), ("g", 3)]
+        p = spark.createDataFrame([("t", "a", [1, 2, 3]), ("t", "b", [1, 2, 4, 5]), ("t", "c", [1, 2])], "tree string, path string, nodes array<int>")
+        assert {r.path: r.new for r in first_seen_paths(p).collect()} == {"b": [1, 2, 4, 5], "a": [3]}
+        assert longest_prefixes(["A", "B", "x", "A"], {"A": "a", "A, B": "ab"}) == ["ab", "a"]
+
+
+class TestTree:
+    def test_depths(self, spark):
+        from lexmill.operators import tree
+
+        rows = [(1, None), (2, 1), (3, 2), (4, 3), (5, 99), (6, 5), (7, 8), (8, 7)]
+        got = {r.id: (r.root, r.depth) for r in tree.depths(spark.createDataFrame(rows, "id int, parent int")).collect()}
+        assert got == {1: (1, 0), 2: (1, 1), 3: (1, 2), 4: (1, 3), 5: (5, 0), 6: (5, 1)}
+        assert sorted(r.id for r in tree.leaves(spark.createDataFrame(rows[:4], "id int, parent int")).collect()) == [4]
+
+
+class TestContainment:
+    def test_no_pair_is_lost(self, spark):
+        rng = random.Random(12)
+        docs = [(i, " ".join(words(rng, rng.randrange(5, 90)))) for i in range(40)]
+        for i in range(40, 80):
+            a, b = rng.choice(docs[:40])[1].split(), rng.choice(docs[:40])[1].split()
+            k = rng.randrange(1, len(a) + 1)
+            docs.append((i, " ".join(b[: len(b) // 2] + a[:k] + b[len(b) // 2 :])))
+        sets = {}
+        for i, t in docs:
+            w = t.split()
+            s = frozenset(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+            if s and s not in sets.values():
+                sets[i] = s
+        want = {(a, b) for a in sets for b in sets if a != b and (len(sets[a]), a) < (len(sets[b]), b) and len(sets[a] & sets[b]) >= 0.8 * len(sets[a])}
+        df = spark.createDataFrame([(i, t) for i, t in docs if i in sets], "id int, text string")
+        got = {(r.small, r.large) for r in near.contained_pairs(near.shingle_sets(df, "id")).collect()}
+        assert got == want and len(want) > 15
+
+
+class TestRanges:
+    def test_numbers_and_carried_values(self, spark):
+        rng = random.Random(4)
+        rows = [(rng.choice(["hot"] * 6 + ["a", None]), i, rng.choice([None, None, i])) for i in rng.sample(range(900), 500)]
+        df = spark.createDataFrame(rows, "g string, t int, v int")
+        seen, want_k, want_v = {}, {}, {}
+        for g, t, v in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+            n, last = seen.get(g, (0, None))
+            last = v if v is not None else last
+            seen[g] = (n + 1, last)
+            want_k[t], want_v[t] = n + 1, last
+        assert {r.t: r.k for r in scale.numbered(df, ["g"], ["t"]).collect()} == want_k
+        some = df.filter("g IS NOT NULL")
+        assert {r.t: r.last for r in scale.carried(some, ["g"], ["t"], F.col("v"), "last").collect()} == {t: want_v[t] for g, t, _ in rows if g}
+        assert scale.numbered(df.limit(0), ["g"], ["t"]).count() == 0

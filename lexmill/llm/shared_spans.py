@@ -230,3 +230,11 @@ def p5_texts(spark, d):
 
 
 QUERIES = {"p5_found": p5_found, "p5_shared": p5_shared, "p5_texts": p5_texts}
+SQL = {
+    "p5_found": """
+    WITH t AS (SELECT doc AS num, arg_min(text, path) AS text FROM files WHERE doc IS NOT NULL AND text IS NOT NULL AND doc IN (SELECT num FROM docs) GROUP BY doc),
+    w AS (SELECT num, list_filter(regexp_split_to_array(text, '[\\s\\p{Z}\\x{85}\\x{1c}-\\x{1f}\\x{0b}]+'), lambda x: x <> '') AS w FROM t),
+    g AS (SELECT DISTINCT num, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM w, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS i))
+    SELECT DISTINCT a.num AS num_a, b.num AS num_b FROM g a JOIN g b ON a.h = b.h AND a.num < b.num
+    """,
+}

@@ -55,11 +55,12 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def salted_lookup(left: DataFrame, right: DataFrame, on: str, how: str = "inner", salts: int = 8, spread: Column | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
+def salted_lookup(left: DataFrame, right: DataFrame, on: str, how: str = "inner", salts: int = 8, spread: Column | None = None, limit: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """left joined to a stored right that is unique by `on`, though one key may hold a third of left's rows.
 
-    Within the limit right is broadcast. Beyond it left's rows of a key are spread over `salts` parts and right is repeated as often."""
-    if right.count() <= limit:
+    Within the limit right is broadcast. Beyond it left's rows of a key are spread over `salts` parts and right is repeated as often.
+    rows is right's number of rows where it is known already."""
+    if (right.count() if rows is None else rows) <= limit:
         return left.join(F.broadcast(right), on, how)
     by = spread if spread is not None else F.rand(7)
     lhs = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lexmill.scale import drop_stored, salted_lookup, stored, table
 
 #: Mean of the shifts and the most that one may be: the radius of a cluster.
-MEAN_SHIFT, MOST_SHIFT = 4.0, 12.0
+MEAN_SHIFT, MOST_SHIFT = 8.0, 24.0
 LINKS = ("same work", "contained", "shares a work")
 
 
@@ -37,15 +37,14 @@ def _grow(edges: DataFrame, level: int) -> DataFrame:
     state = stored(both.select("v").distinct().select("v", _shift(F.col("v"), level).alias("key"), F.col("v").alias("c"), F.lit(1).alias("fresh")))
     while True:
         front = state.filter("fresh = 1 AND key > 1").select(F.col("v").alias("u"), "key", "c")
-        if front.isEmpty():
+        rows = front.count()
+        if not rows:
             break
-        front = stored(front)
-        reached = salted_lookup(both, front, "u", spread=F.col("v")).select("v", (F.col("key") - 1).alias("key"), "c", F.lit(1).alias("fresh"))
+        reached = salted_lookup(both, front, "u", spread=F.col("v"), rows=rows).select("v", (F.col("key") - 1).alias("key"), "c", F.lit(1).alias("fresh"))
         standing = state.select("v", "key", "c", F.lit(0).alias("fresh"))
         # of equal rows the standing one must win, or a cluster would be told again and again
         best = standing.union(reached).groupBy("v").agg(F.max(F.struct("key", "c", (-F.col("fresh")).alias("old"))).alias("s"))
         new = stored(best.select("v", "s.key", "s.c", (-F.col("s.old")).alias("fresh")))
-        drop_stored(front)
         drop_stored(state)
         state = new
     drop_stored(both)
@@ -59,8 +58,9 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         own = _grow(edges, len(levels))
         levels.append(own)
-        half = salted_lookup(edges, own.select(F.col("v").alias("u"), F.col("c").alias("cu")), "u", spread=F.col("v"))
-        full = salted_lookup(half, own.select("v", F.col("c").alias("cv")), "v", spread=F.col("u"))
+        rows = own.count()
+        half = salted_lookup(edges, own.select(F.col("v").alias("u"), F.col("c").alias("cu")), "u", spread=F.col("v"), rows=rows)
+        full = salted_lookup(half, own.select("v", F.col("c").alias("cv")), "v", spread=F.col("u"), rows=rows)
         between = full.filter("cu <> cv").select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).distinct()
         new = stored(between)
         drop_stored(edges)

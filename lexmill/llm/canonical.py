@@ -30,7 +30,7 @@ from lexmill.scale import table
 CYRILLIC = "АВЕЅІЈКМНОРСТУХаеѕіјорсухԁһӏԛԝҮүѵ"
 CYRILLIC_AS_LATIN = "ABESIJKMHOPCTYXaesijopcyxdhlqwYyv"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορτυχγϲϳ"
-GREEK_AS_LATIN = "ABEZHIKMNOPTYXaikvoptuxyϲj".replace("ϲ", "c")
+GREEK_AS_LATIN = "ABEZHIKMNOPTYXaikvoptuxycj"
 #: Cyrillic letters over the Greek ones of the same look.
 CYRILLIC_FOR_GREEK = "АВЕЗНІКМОРТУХоріхν"
 GREEK_FOR_CYRILLIC = "ΑΒΕΖΗΙΚΜΟΡΤΥΧοριχν"

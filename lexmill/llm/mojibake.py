@@ -39,6 +39,7 @@ _split_word = re.compile(r"[^\s\x00-\x26\x28-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _ascii_letters = re.compile("[A-Za-z]")
 _bare = re.compile(r"(?<![^\s\x00-\x40\x5b-\x60\x7b-\x7f])[^\x00-\x7f]{3,}(?![^\s\x00-\x40\x5b-\x60\x7b-\x7f])")
 _digits = re.compile("[0-9]+")
+_cyrillic, _latin = re.compile("[\u0400-\u04ff]"), re.compile("[A-Za-z\u00c0-\u024f]")
 
 
 def _encode(c: str, codec: str) -> bytes | None:
@@ -92,6 +93,11 @@ def restore(text: str, change: str) -> str | None:
 CHANGES = tuple(f"utf-8>{r}" for r in SINGLE) + tuple(f"{w}>{r}" for w in SINGLE for r in SINGLE if w != r)
 
 
+def strange(word: str, line: str) -> bool:
+    """Whether a short word is Cyrillic in a line of mostly Latin letters: only then two letters say enough."""
+    return bool(_cyrillic.search(word)) and not _latin.search(word) and len(_latin.findall(line)) > 3 * len(_cyrillic.findall(line))
+
+
 def skeleton(form: str) -> str:
     return _high.sub("", form)
 
@@ -247,7 +253,7 @@ def _tried(words: DataFrame, changes: list[str]) -> DataFrame:
 
 def _swapped_words(forms: DataFrame, learned: list[str]) -> DataFrame:
     """word, change: words that a change between single-byte encodings made out of a word of many more files. A stored table."""
-    words = forms.filter("scope = 'w' AND length(form) > 2")
+    words = forms.filter("scope = 'w'")
     tried = _tried(words, [t for t in learned if not t.startswith("utf-8>")])
     sound = words.select(F.col("form").alias("restored"), F.col("files").alias("of"))
     return stored(tried.join(sound, "restored").filter(F.col("of") >= F.col("files") * TIMES).groupBy("word").agg(F.max_by("change", F.struct("of", "change")).alias("change")))
@@ -271,7 +277,7 @@ def find_garbled(files: DataFrame) -> DataFrame:
                     if line.isascii():
                         continue
                     new, bad = fix.line(line)
-                    words = [] if bad else [w for w in _split_word.findall(line) if len(w) > 2 and not w.isascii()]
+                    words = [] if bad else [w for w in _split_word.findall(line) if not w.isascii() and (len(w) > 2 or strange(w, line))]
                     if bad or words:
                         rows.append((path, n, line, new, bad, words))
             columns = list(zip(*rows, strict=True)) or [[]] * 6

@@ -94,8 +94,8 @@ CHANGES = tuple(f"utf-8>{r}" for r in SINGLE) + tuple(f"{w}>{r}" for w in SINGLE
 
 
 def strange(word: str, line: str) -> bool:
-    """Whether a short word is Cyrillic in a line of mostly Latin letters: only then two letters say enough."""
-    return bool(_cyrillic.search(word)) and not _latin.search(word) and len(_latin.findall(line)) > 3 * len(_cyrillic.findall(line))
+    """Whether a short word mixes Latin and Cyrillic, or is Cyrillic in a line of mostly Latin letters: only then two letters say enough."""
+    return bool(_cyrillic.search(word)) and (bool(_latin.search(word)) or len(_latin.findall(line)) > 3 * len(_cyrillic.findall(line)))
 
 
 def skeleton(form: str) -> str:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexmill.functions import text as X
 from lexmill.plans.catalog import query
-from lexmill.scale import table
+from lexmill.scale import small, stored, table
 
 
 @query(
@@ -22,14 +23,14 @@ from lexmill.scale import table
     """
 )
 def contamination_pairs(spark, d):
-    """Held-out works x documents that share at least five distinct runs of eight words; the bounded held-out side is hashed once."""
+    """Held-out works x documents that share at least five distinct runs of eight words.
+
+    Runs are hashed within the scan; the held-out side doesn't grow with the corpus, is counted and then broadcast, so a document's runs that
+    hit nothing are gone before anything is shuffled."""
 
     def runs(df, key):
-        ws = F.filter(F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " "), lambda x: x != "")
-        n = F.size("ws") - 7
-        grams = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_join(F.slice("ws", i, 8), " "))).otherwise(F.array().cast("array<string>"))
-        return df.filter(F.col("text").isNotNull()).select(key, ws.alias("ws")).select(key, F.explode(F.array_distinct(grams)).alias("g"))
-
-    held = runs(table(spark, d, "works").filter("split = 'heldout'"), "key")
-    seen = runs(table(spark, d, "documents"), "doc_id")
-    return seen.join(held, "g").groupBy("key", "doc_id").agg(F.count("*").alias("shared_runs")).filter("shared_runs >= 5")
+        words = df.filter("text IS NOT NULL").select(key, F.filter(F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " "), lambda x: x != "").alias("w"))
+        return words.select(key, F.explode(F.array_distinct(X.hashed(X.runs(F.col("w"), 8)))).alias("g"))
+
+    held = stored(runs(table(spark, d, "works").filter("split = 'heldout'"), "key"))
+    return runs(table(spark, d, "documents"), "doc_id").join(small(held), "g").groupBy("key", "doc_id").agg(F.count("*").alias("shared_runs")).filter("shared_runs >= 5")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexmill.functions import text as X
 from lexmill.functions import tokens
 from lexmill.operators import near, tree
 from lexmill.plans.catalog import query

@@ -59,8 +59,11 @@ def runs(words: Column, size: int, stride: int = 1) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
 
 
-def hashed(shingles: Column) -> Column:
-    return F.transform(shingles, lambda x: F.xxhash64(x))
+def hashed_runs(words: Column, size: int, stride: int = 1) -> Column:
+    """64-bit hashes of the runs, without building their strings. `words` must be a column at hand, not an expression."""
+    last = F.size(words) - size
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
 
 
 def stop_share(words: Column, stops: Sequence[str] = ENGLISH) -> Column:

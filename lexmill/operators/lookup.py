@@ -14,8 +14,9 @@ SIZE, SHOWN = 8, 5
 
 def _runs(df: DataFrame, key: str, text: str, name: str, at: str, size: int) -> DataFrame:
     words = df.filter(F.col(text).isNotNull()).select(F.col(key).alias(name), F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w")).filter(F.size("w") >= size)
-    hashed = words.select(name, F.size("w").alias("n"), X.runs(F.col("w"), size).alias("r"))
-    return hashed.select(name, "n", F.posexplode(F.transform("r", lambda x: F.xxhash64(x))).alias(at, "h"))
+    hashed = words.select(name, F.size("w").alias("n"), X.hashed_runs(F.col("w"), size).alias("r"))
+    # an inner explode would be given a filter on the size of r, worked out anew below the words' column for every element
+    return hashed.select(name, "n", F.posexplode_outer("r").alias(at, "h")).filter("h IS NOT NULL")
 
 
 def lookup(queries: DataFrame, corpus: DataFrame, query: str = "key", doc: str = "doc_id", text: str = "text", size: int = SIZE, shown: int = SHOWN) -> tuple[DataFrame, DataFrame]:

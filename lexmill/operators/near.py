@@ -24,7 +24,7 @@ def shingle_sets(docs: DataFrame, key: str, text: str = "text", size: int = SIZE
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     # each step is a column of its own: inside a lambda an expression is worked out again for every element
     split = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("key"), words.alias("w")).filter(F.size("w") >= size)
-    return split.select("key", F.array_sort(F.array_distinct(X.hashed(X.runs(F.col("w"), size)))).alias("s"))
+    return split.select("key", F.array_sort(F.array_distinct(X.hashed_runs(F.col("w"), size))).alias("s"))
 
 
 def classes(sets: DataFrame) -> DataFrame:

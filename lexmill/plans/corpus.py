@@ -30,7 +30,7 @@ def contamination_pairs(spark, d):
 
     def runs(df, key):
         words = df.filter("text IS NOT NULL").select(key, F.filter(F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " "), lambda x: x != "").alias("w"))
-        return words.select(key, F.explode(F.array_distinct(X.hashed(X.runs(F.col("w"), 8)))).alias("g"))
+        return words.select(key, F.explode_outer(F.array_distinct(X.hashed_runs(F.col("w"), 8))).alias("g")).filter("g IS NOT NULL")
 
     held = stored(runs(table(spark, d, "works").filter("split = 'heldout'"), "key"))
     return runs(table(spark, d, "documents"), "doc_id").join(small(held), "g").groupBy("key", "doc_id").agg(F.count("*").alias("shared_runs")).filter("shared_runs >= 5")

@@ -395,7 +395,7 @@ def heldout_demotion(spark, d):
     w = table(spark, d, "works")
     r = w.select("key", (X.lot(F.concat_ws(":", F.lit("7"), "shelf", "key"), 0.1) | F.coalesce(F.col("split") == "heldout", F.lit(False))).alias("chosen"))
     words = w.filter("text IS NOT NULL").select("key", F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)).alias("w"))
-    g = stored(words.select("key", F.explode(F.array_distinct(X.runs(F.col("w"), 8))).alias("g")).select("key", F.xxhash64("g").alias("g")).join(r, "key"))
+    g = stored(words.select("key", F.explode_outer(F.array_distinct(X.hashed_runs(F.col("w"), 8))).alias("g")).filter("g IS NOT NULL").join(r, "key"))
     c = g.filter("chosen").join(g.filter("NOT chosen").select("g").distinct(), "g", "left_semi").groupBy("key").agg(F.count("*").alias("shared"))
     n = F.coalesce("shared", F.lit(0))
     return r.join(c, "key", "left").select("key", n.alias("shared"), F.when(~F.col("chosen"), "train").when(n >= 5, "demoted").otherwise("heldout").alias("verdict"))
@@ -410,9 +410,9 @@ def passage_search(spark, d):
     A passage holds whole words between its first and last blank; any document that has the passage has their runs of five."""
     p = table(spark, d, "works").filter("split = 'heldout' AND text IS NOT NULL").select("key", F.explode(F.split("text", "\n")).alias("passage")).filter(F.size(F.split("passage", " ")) >= 12)
     split = lambda c: F.split(c, r"\s+")
-    pw = p.select("key", "passage", split("passage").alias("w")).select("key", "passage", F.xxhash64(F.array_join(F.slice("w", 2, 5), " ")).alias("h"))
+    pw = p.select("key", "passage", split("passage").alias("w")).select("key", "passage", F.xxhash64(*[F.get("w", F.lit(k)) for k in range(1, 6)]).alias("h"))
     docs = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", "text")
-    dw = docs.select("doc_id", split("text").alias("w")).select("doc_id", F.explode(F.array_distinct(X.hashed(X.runs(F.col("w"), 5)))).alias("h"))
+    dw = docs.select("doc_id", split("text").alias("w")).select("doc_id", F.explode_outer(F.array_distinct(X.hashed_runs(F.col("w"), 5))).alias("h")).filter("h IS NOT NULL")
     hit = stored(dw.join(pw, "h").select("doc_id", "key", "passage"))
     return docs.join(hit, "doc_id").filter(F.expr("contains(text, passage)")).select("key", "doc_id").distinct()
 

@@ -118,5 +118,5 @@ def chunked_texts(spark, d):
 def minhash_signatures(spark, d):
     """Signatures of 64 least hashes over runs of eight words."""
     w = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w")).filter("size(w) >= 8")
-    h = w.select("doc_id", X.hashed(X.runs(F.col("w"), 8)).alias("h"))
+    h = w.select("doc_id", X.hashed_runs(F.col("w"), 8).alias("h"))
     return h.select("doc_id", near.minhash("h").alias("signature"))

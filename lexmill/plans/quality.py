@@ -127,7 +127,8 @@ _GRAM = "list_transform(range(1, greatest(len(t) - {0} + 2, 1)), lambda i: array
 def distinct2_rep4(spark, d):
     """Diversity of pairs and repetition of fours, by words and signs."""
     a = _docs(spark, d).select("doc_id", X.punct_tokens("text").alias("t"))
-    return a.select("doc_id", F.size("t").alias("n"), X.distinct_share(X.runs(F.col("t"), 2)).alias("distinct_2"), (1 - X.distinct_share(X.runs(F.col("t"), 4))).alias("rep_4"))
+    g = a.select("doc_id", F.size("t").alias("n"), X.hashed_runs(F.col("t"), 2).alias("b"), X.hashed_runs(F.col("t"), 4).alias("q"))
+    return g.select("doc_id", "n", X.distinct_share(F.col("b")).alias("distinct_2"), (1 - X.distinct_share(F.col("q"))).alias("rep_4"))
 
 
 @query("""

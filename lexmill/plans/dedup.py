@@ -369,7 +369,12 @@ def greedy_decide(spark, d):
     return decide(nodes, o, (F.col("words") - F.col("covered") < 250) & (F.col("covered") >= 0.5 * F.col("words")))
 
 
-@query()
+@query("""
+    WITH q AS (SELECT key, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM works WHERE split = 'heldout' AND text IS NOT NULL), d AS (SELECT regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+    qg AS (SELECT key, i, array_to_string(w[i:i + 7], ' ') AS g FROM q, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS i)), dg AS (SELECT DISTINCT array_to_string(w[i:i + 7], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS i)),
+    c AS (SELECT key, count(DISTINCT i + k) AS covered FROM qg JOIN dg USING (g), range(0, 8) t(k) GROUP BY key)
+    SELECT q.key, len(w) AS words, coalesce(covered, 0) AS covered, coalesce(covered, 0) / len(w) AS score FROM q LEFT JOIN c USING (key) WHERE len(w) >= 8
+""")
 def lookup_scores(spark, d):
     """How much of each held-out work stands word for word in the documents."""
     from lexmill.operators.lookup import lookup

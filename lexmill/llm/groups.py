@@ -102,11 +102,13 @@ def p6_sizes(spark, d):
 
 
 QUERIES = {"p6_found": p6_found, "p6_sizes": p6_sizes}
-SQL = {
-    "p6_found": """
+_GROUPS = """
     WITH RECURSIVE l AS (SELECT a.path AS a, b.path AS b FROM pairs WHERE relation IN ('same work', 'contained', 'shares a work') AND a.path <> b.path),
     e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
-    r(path, seen) AS (SELECT a, a FROM e UNION SELECT r.path, e.b FROM r JOIN e ON r.seen = e.a)
-    SELECT path, min(seen) AS group_path FROM r GROUP BY path
-    """,
+    r(path, seen) AS (SELECT a, a FROM e UNION SELECT r.path, e.b FROM r JOIN e ON r.seen = e.a),
+    g AS (SELECT path, min(seen) AS group_path FROM r GROUP BY path)
+"""
+SQL = {
+    "p6_found": f"{_GROUPS} SELECT * FROM g",
+    "p6_sizes": f"{_GROUPS} SELECT records, count(*) AS groups FROM (SELECT count(*) AS records FROM g GROUP BY group_path) GROUP BY records",
 }

@@ -230,11 +230,17 @@ def p5_texts(spark, d):
 
 
 QUERIES = {"p5_found": p5_found, "p5_shared": p5_shared, "p5_texts": p5_texts}
-SQL = {
-    "p5_found": """
+_WORDS = """
     WITH t AS (SELECT doc AS num, arg_min(text, path) AS text FROM files WHERE doc IS NOT NULL AND text IS NOT NULL AND doc IN (SELECT num FROM docs) GROUP BY doc),
     w AS (SELECT num, list_filter(regexp_split_to_array(text, '[\\s\\p{Z}\\x{85}\\x{1c}-\\x{1f}\\x{0b}]+'), lambda x: x <> '') AS w FROM t),
-    g AS (SELECT DISTINCT num, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM w, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS i))
-    SELECT DISTINCT a.num AS num_a, b.num AS num_b FROM g a JOIN g b ON a.h = b.h AND a.num < b.num
+    g AS (SELECT DISTINCT num, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM w, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS i))
+"""
+SQL = {
+    "p5_found": f"{_WORDS} SELECT DISTINCT a.num AS num_a, b.num AS num_b FROM g a JOIN g b ON a.h = b.h AND a.num < b.num",
+    "p5_shared": f"""
+    {_WORDS}, r AS (SELECT h, min(num) AS f FROM g GROUP BY h HAVING count(DISTINCT num) > 1),
+    c AS (SELECT num, count(DISTINCT i + k) AS shared, count(DISTINCT CASE WHEN f < num THEN i + k END) AS repeated FROM g JOIN r USING (h), range(0, 50) x(k) GROUP BY num),
+    p AS (SELECT unnest([a.path, b.path]) AS path, matched_words FROM pairs WHERE matched_words IS NOT NULL), m AS (SELECT doc AS num, max(matched_words) AS matched_words FROM files JOIN p USING (path) WHERE doc IS NOT NULL GROUP BY doc)
+    SELECT num, len(w) AS words, coalesce(shared, 0) AS shared, coalesce(repeated, 0) AS repeated, matched_words FROM w LEFT JOIN c USING (num) LEFT JOIN m USING (num)
     """,
 }

@@ -18,6 +18,7 @@ BROADCAST_ROWS = 300_000
 HOT_ROWS = 50_000
 
 _own: list[str] = []
+_written: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,17 +38,32 @@ def stored(df: DataFrame) -> DataFrame:
     Compressed columns take far less disk than RDD checkpoints and give the optimizer true sizes."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_clear)
+    _written.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _clear() -> None:
+    """Deletes what this process stored, as far as the session still lives at its end."""
+    for spark, path in _written:
+        try:
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001 - the session is gone, so the folder's owner has to clear it
+            return
+
+
 def drop_stored(df: DataFrame) -> None:
     """Deletes the table behind stored(df) once nothing reads it any more."""
     for path in {os.path.dirname(x) for x in df.inputFiles()}:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        if p.getName().startswith("stored-"):
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        if os.path.basename(path).startswith("stored-"):
+            _delete(df.sparkSession, path)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

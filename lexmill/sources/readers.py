@@ -6,6 +6,7 @@ import io
 import posixpath
 import re
 import zipfile
+import zlib
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -120,6 +121,93 @@ def read_plain(raw: bytes) -> str:
     raise AssertionError("latin-1 decodes everything")
 
 
+def palm_unpacked(raw: bytes) -> bytes:
+    """PalmDOC compression undone: literals, blanks before letters, and pairs of distance and length."""
+    out, i = bytearray(), 0
+    while i < len(raw):
+        b = raw[i]
+        i += 1
+        if b == 0 or 9 <= b <= 0x7F:
+            out.append(b)
+        elif b <= 8:
+            out += raw[i : i + b]
+            i += b
+        elif b >= 0xC0:
+            out += bytes([0x20, b ^ 0x80])
+        else:
+            if i >= len(raw):
+                break
+            pair = b << 8 | raw[i]
+            i += 1
+            back, size = pair >> 3 & 0x7FF, (pair & 7) + 3
+            if not 0 < back <= len(out):
+                raise ValueError("distance beyond the text")
+            for _ in range(size):
+                out.append(out[-back])
+    return bytes(out)
+
+
+def mobi_text(raw: bytes) -> str:
+    """The markup of a MOBI book without encryption, stored plain or by PalmDOC compression."""
+    count = int.from_bytes(raw[76:78], "big")
+    starts = [int.from_bytes(raw[78 + 8 * k : 82 + 8 * k], "big") for k in range(count)] + [len(raw)]
+    head = raw[starts[0] : starts[1]]
+    how, pages, locked = (int.from_bytes(head[a : a + 2], "big") for a in (0, 8, 12))
+    if locked or how not in (1, 2):
+        raise ValueError("encrypted" if locked else f"compression {how}")
+    codec = "utf-8" if head[16:20] == b"MOBI" and int.from_bytes(head[28:32], "big") == 65001 else "cp1252"
+    records = [raw[starts[k] : starts[k + 1]] for k in range(1, min(pages, count - 1) + 1)]
+    return b"".join(palm_unpacked(r) if how == 2 else r for r in records).decode(codec, "replace")
+
+
+_pdf_escapes = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"", b"f": b""}
+_pdf_token = re.compile(rb"\((?:\\.|[^\\()]|\((?:\\.|[^\\()])*\))*\)|<[0-9A-Fa-f\s]*>|\[|\]|[-+]?[0-9]*\.?[0-9]+|/[^\s/<>\[\]()]+|[A-Za-z'\"*]+", re.S)
+
+
+def _pdf_string(t: bytes) -> str:
+    if t[:1] == b"<":
+        digits = re.sub(rb"\s", b"", t[1:-1])
+        raw = bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode())
+    else:
+        raw = re.sub(rb"\\([0-7]{1,3})", lambda m: bytes([int(m.group(1), 8) & 255]), t[1:-1])
+        raw = re.sub(rb"\\(\r?\n|.)", lambda m: _pdf_escapes.get(m.group(1), b"" if m.group(1)[-1:] == b"\n" else m.group(1)), raw, flags=re.S)
+    return raw.decode("utf-16-be", "replace") if raw[:2] == b"\xfe\xff" else raw.decode("cp1252", "replace")
+
+
+def pdf_text(raw: bytes) -> str:
+    """The text that a PDF's content streams show, plain or deflated, for fonts of a standard encoding; a line for each move to a new one.
+
+    Encrypted files and fonts with glyph numbers of their own give no text."""
+    out: list[str] = []
+    for m in re.finditer(rb"stream\r?\n(.*?)\r?\nendstream", raw, re.S):
+        data = m.group(1)
+        try:
+            data = zlib.decompressobj().decompress(data)
+        except zlib.error:
+            pass
+        for block in re.findall(rb"\bBT\b(.*?)\bET\b", data, re.S):
+            stack: list[bytes] = []
+            for t in _pdf_token.findall(block):
+                if t in (b"Tj", b"'", b'"', b"TJ"):
+                    if t in (b"'", b'"'):
+                        out.append("\n")
+                    for x in stack:
+                        if x[:1] in b"(<":
+                            out.append(_pdf_string(x))
+                        elif t == b"TJ" and re.fullmatch(rb"-[0-9.]+", x) and float(x) < -200:
+                            out.append(" ")
+                    stack = []
+                elif t in (b"Td", b"TD", b"T*", b"Tm"):
+                    out.append("\n")
+                    stack = []
+                elif t[:1].isalpha():
+                    stack = []
+                else:
+                    stack.append(t)
+            out.append("\n")
+    return re.sub(r"[ \t]*\n\s*", "\n", "".join(out)).strip()
+
+
 class _Text(HTMLParser):
     BLOCKS = frozenset("p div h1 h2 h3 h4 h5 h6 li br tr blockquote section".split())
 
@@ -184,7 +272,7 @@ def epub_sections(raw: bytes) -> list[dict]:
 
 
 def read_books(spark: SparkSession, folder: str) -> DataFrame:
-    """A row for each section of the EPUB, plain-text and HTML books of a folder; a book that can't be read has one row with a reason."""
+    """A row for each section of the EPUB, MOBI, PDF, plain-text and HTML books of a folder; a book that can't be read has one row with a reason."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "content")
     schema = "path string, n int, href string, label string, epub_type string, heading string, text string, book string, author string, kind string, reason string"
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
@@ -200,12 +288,15 @@ def read_books(spark: SparkSession, folder: str) -> DataFrame:
                         found = epub_sections(content)
                     elif kind == "text":
                         found = [{"n": 0, "text": read_plain(content)}]
-                    elif kind == "html":
-                        heading, text = _page(read_plain(content))
+                    elif kind == "pdf":
+                        text = pdf_text(content)
+                        found = [{"n": 0, "text": text} if text else {"n": 0, "reason": "no text in the PDF"}]
+                    elif kind in ("html", "mobi"):
+                        heading, text = _page(mobi_text(content) if kind == "mobi" else read_plain(content))
                         found = [{"n": 0, "heading": heading, "text": text}]
                     else:
                         found = [{"n": 0, "reason": f"no reader for {kind}"}]
-                except (KeyError, StopIteration, zipfile.BadZipFile, ElementTree.ParseError) as e:
+                except (KeyError, IndexError, ValueError, StopIteration, zipfile.BadZipFile, ElementTree.ParseError) as e:
                     found = [{"n": 0, "reason": f"broken: {type(e).__name__}"}]
                 rows += [{"path": path, "kind": kind, **x} for x in found]
             out = pd.DataFrame(rows, columns=names).astype(object)

@@ -266,14 +266,31 @@ class TestSources:
             z.writestr("OPS/b.xhtml", '<html><body epub:type="appendix"><p>End</p></body></html>')
         return out.getvalue()
 
+    def mobi(self, text):
+        packed = text[:20] + bytes([0x80 | 3 >> 5, (3 & 31) << 3 | 0]) + text[23:] if text[20:23] == text[17:20] else b"".join(bytes([1, b]) if b > 127 else bytes([b]) for b in text)
+        head = (2).to_bytes(2, "big") + bytes(6) + (1).to_bytes(2, "big") + bytes(6)
+        first = 78 + 16 + 2
+        table = b"".join(o.to_bytes(4, "big") + bytes(4) for o in (first, first + len(head)))
+        return bytes(60) + b"BOOKMOBI" + bytes(8) + (2).to_bytes(2, "big") + table + bytes(2) + head + packed
+
+    def test_palm_pairs(self):
+        assert readers.palm_unpacked(b"so " + bytes([0x80, 3 << 3 | 3]) + bytes([0xC0 | 0x21])) == b"so so so  a"
+
     def test_books(self, spark, tmp_path):
         (tmp_path / "a.epub").write_bytes(self.epub())
         (tmp_path / "b.epub").write_bytes(self.epub()[:150])
         (tmp_path / "c.txt").write_bytes("café".encode("cp1252"))
         (tmp_path / "d.pdf").write_bytes(b"%PDF-1.4 x")
+        (tmp_path / "e.mobi").write_bytes(self.mobi(b"<html><h1>Two</h1><p>So so so so it caf\xe9 was</p></html>"))
+        import zlib
+
+        content = zlib.compress(rb"BT /F1 12 Tf 72 700 Td (It was \(late\)) Tj 0 -14 Td [(in t) -20 (he) -300 <6E69676874>] TJ ET")
+        (tmp_path / "f.pdf").write_bytes(b"%PDF-1.4\n1 0 obj <</Filter/FlateDecode>>\nstream\n" + content + b"\nendstream\nendobj")
         rows = sorted(readers.read_books(spark, str(tmp_path)).collect(), key=lambda r: (r.path, r.n))
         assert [(r.label, r.epub_type, r.heading, r.text, r.author) for r in rows[:2]] == [("First one", None, "One", "One\nText & more", "Someone"), ("Second", "appendix", "", "End", "Someone")]
-        assert rows[2].reason.startswith("broken") and rows[3].text == "café" and rows[4].reason == "no reader for pdf"
+        assert rows[2].reason.startswith("broken") and rows[3].text == "café" and rows[4].reason == "no text in the PDF"
+        assert (rows[5].kind, rows[5].heading, rows[5].text) == ("mobi", "Two", "Two\nSo so so so it café was")
+        assert rows[6].text == "It was (late)\nin the night"
 
     def test_scans(self, spark):
         df = spark.createDataFrame([("b", i, f"THE BOOK {i}\nline of page {i} bro-\nken here\n{i}") for i in range(1, 5)], "book string, page int, text string")

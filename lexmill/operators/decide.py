@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.scale import drop_stored, stored
+from lexmill.scale import drop_stored, salted_lookup, stored
 
 
 def decide(nodes: DataFrame, overlaps: DataFrame, whole: Column) -> DataFrame:
@@ -36,3 +36,34 @@ def decide(nodes: DataFrame, overlaps: DataFrame, whole: Column) -> DataFrame:
             drop_stored(t)
         done, waiting = new_done, new_waiting
     return done
+
+
+def decide_units(nodes: DataFrame, holdings: DataFrame, whole: Column) -> DataFrame:
+    """As decide, with overlaps given by units (id, unit, words) instead of pairs: whoever has a unit overlaps with all others that have it.
+
+    Of a unit only the highest-ranked holder not yet decided counts. If it stays, all others that wait have the unit covered and the unit is
+    closed; if it is dropped, the next one takes its place. So units of any number of holders make no pairs, and a unit that many share is
+    settled as soon as its first holder is, not in as many rounds as it has holders."""
+    nodes = stored(nodes.select("id", "rank", "words", F.coalesce("reference", F.lit(False)).alias("reference")).filter("id IS NOT NULL").dropDuplicates(["id"]))
+    acting = nodes.filter("NOT reference").select("id", "rank")
+    held = stored(holdings.filter("unit IS NOT NULL").groupBy("id", "unit").agg(F.max("words").alias("w")).join(acting, "id"))
+    common = stored(held.groupBy("unit").agg(F.count("*").alias("c")).filter("c > 1").select("unit"))
+    rows = stored(salted_lookup(held, common, "unit", spread=F.col("id")).select("unit", "id", "rank", "w"))
+    waiting = stored(rows.select("id").distinct().withColumn("covered", F.lit(0).cast("long")))
+    done = stored(nodes.join(waiting, "id", "left_anti").select("id", F.lit("keep").alias("fate"), F.lit(0).cast("long").alias("covered")))
+    for t in (held, common):
+        drop_stored(t)
+    while not waiting.isEmpty():
+        tops = stored(rows.groupBy("unit").agg(F.max("rank").alias("top")))
+        behind = salted_lookup(rows, tops, "unit", spread=F.col("id")).filter("rank < top").select("id").distinct()
+        fate = F.when(F.col("covered") == 0, "keep").when(whole, "drop").otherwise("cut")
+        now = stored(waiting.join(behind, "id", "left_anti").join(nodes, "id").select("id", fate.alias("fate"), "covered"))
+        closed = stored(rows.join(now.filter("fate <> 'drop'"), "id", "left_semi").select("unit", F.lit(True).alias("closed")).distinct())
+        marked = stored(salted_lookup(rows.join(now, "id", "left_anti"), closed, "unit", "left", spread=F.col("id")))
+        gains = marked.filter("closed").groupBy("id").agg(F.sum("w").cast("long").alias("gain"))
+        new_waiting = stored(waiting.join(now, "id", "left_anti").join(gains, "id", "left").select("id", (F.col("covered") + F.coalesce("gain", F.lit(0))).alias("covered")))
+        new_done = stored(done.union(now))
+        for t in (done, waiting, now, tops, closed, rows):
+            drop_stored(t)
+        done, waiting, rows = new_done, new_waiting, marked.filter("closed IS NULL").drop("closed")
+    return done

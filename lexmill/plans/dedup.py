@@ -356,17 +356,15 @@ def strip_edges(spark, d):
 
 @query()
 def greedy_decide(spark, d):
-    """Keep, cut or drop by shared units (of two to six texts), higher kinds and priorities and longer texts first."""
-    from lexmill.operators.decide import decide
+    """Keep, cut or drop by shared units, higher kinds and priorities and longer texts first."""
+    from lexmill.operators.decide import decide_units
 
     s = table(spark, d, "sources").select(F.col("name").alias("source"), F.when(F.col("kind") == "read", 2).when(F.col("kind") == "incoming", 1).otherwise(0).alias("k"), "priority")
     own = table(spark, d, "files").filter("doc IS NOT NULL").join(F.broadcast(s), "source").groupBy(F.col("doc").alias("num")).agg(F.max(F.struct("k", "priority")).alias("o"))  # sources: 26 rows
     docs = table(spark, d, "docs").join(own, "num")
     nodes = docs.select(F.col("num").alias("id"), F.struct("o.k", "o.priority", "words", (-F.col("num")).alias("neg")).alias("rank"), "words", (F.col("o.k") == 0).alias("reference"))
-    u = table(spark, d, "docs").select("num", F.explode(F.arrays_zip("hashes", "unit_words")).alias("x")).select("num", F.col("x.hashes").alias("h"), F.col("x.unit_words").alias("w")).filter("h <> 0").dropDuplicates(["num", "h"])
-    m = stored(u.join(u.groupBy("h").agg(F.count("*").alias("c")).filter("c BETWEEN 2 AND 6").select("h"), "h"))
-    o = m.alias("x").join(m.alias("y"), F.expr("x.h = y.h AND x.num <> y.num")).select(F.col("x.num").alias("low"), F.col("y.num").alias("high"), F.col("x.h").alias("unit"), F.col("x.w").alias("words"))
-    return decide(nodes, o, (F.col("words") - F.col("covered") < 250) & (F.col("covered") >= 0.5 * F.col("words")))
+    u = table(spark, d, "docs").select("num", F.explode(F.arrays_zip("hashes", "unit_words")).alias("x")).select(F.col("num").alias("id"), F.col("x.hashes").alias("unit"), F.col("x.unit_words").alias("words")).filter("unit <> 0")
+    return decide_units(nodes, u, (F.col("words") - F.col("covered") < 250) & (F.col("covered") >= 0.5 * F.col("words")))
 
 
 @query("""

@@ -103,6 +103,33 @@ class TestDecide:
         got = {r.id: r.fate for r in decide.decide(df, o, F.col("words") - F.col("covered") < 40).collect()}
         assert got == fate and {"keep", "cut", "drop"} <= set(fate.values())
 
+    def test_units_equal_the_sequence(self, spark):
+        rng = random.Random(8)
+        nodes = [(i, rng.random(), 100, rng.random() < 0.1) for i in range(60)]
+        # units 0 and 1 are held by most, the rest by few
+        have = {i: {u for u in range(2) if rng.random() < 0.7} | set(rng.sample(range(2, 40), rng.randrange(0, 8))) for i in range(60)}
+        of = {i: (r, ref) for i, r, _, ref in nodes}
+        want = {}
+        for i in sorted(of, key=lambda x: -of[x][0]):
+            units = {u for u in have[i] for b in have if u in have[b] and of[b][0] > of[i][0] and not of[b][1] and want[b][0] != "drop"} if not of[i][1] else set()
+            covered = 20 * len(units)
+            want[i] = ("keep" if not units else "drop" if 100 - covered < 30 else "cut", covered)
+        df = spark.createDataFrame(nodes, "id int, rank double, words int, reference boolean")
+        h = spark.createDataFrame([(i, u, 20) for i, own in have.items() for u in own for _ in range(2)] + [(None, 1, 20), (999, 1, 20), (1, None, 20)], "id int, unit int, words int")
+        got = {r.id: (r.fate, r.covered) for r in decide.decide_units(df, h, F.col("words") - F.col("covered") < 30).collect()}
+        assert got == want and {"keep", "cut", "drop"} == {f for f, _ in want.values()}
+
+    def test_copies_of_more_than_six_texts(self, spark, tmp_path):
+        from lexmill.plans.dedup import greedy_decide
+
+        spark.createDataFrame([("s", "incoming", 1)], "name string, kind string, priority int").write.parquet(f"{tmp_path}/sources.parquet")
+        spark.createDataFrame([(i, "s") for i in range(9)], "doc long, source string").write.parquet(f"{tmp_path}/files.parquet")
+        docs = [(i, 300, [1, 2, 3], [100, 100, 100]) for i in range(8)] + [(8, 900, [3, 9], [100, 800])]
+        spark.createDataFrame(docs, "num long, words int, hashes array<long>, unit_words array<int>").write.parquet(f"{tmp_path}/docs.parquet")
+        got = {r.id: (r.fate, r.covered) for r in greedy_decide(spark, str(tmp_path)).collect()}
+        # the longest text stays and covers unit 3; the first copy is cut, the others are covered by both
+        assert got == {8: ("keep", 0), 0: ("cut", 100)} | {i: ("drop", 300) for i in range(1, 8)}
+
 
 class TestLookup:
     def test_spans(self, spark):

@@ -263,20 +263,44 @@ def discounted_matches(spark, d):
 _SHARED_UNITS = "u AS (SELECT num, generate_subscripts(hashes, 1) AS i, unnest(hashes) AS h, unnest(unit_words) AS w, unnest(ends) AS e FROM docs), k AS (SELECT h FROM (SELECT DISTINCT num, h FROM u WHERE h <> 0) GROUP BY h HAVING count(*) BETWEEN 2 AND 6)"
 
 
+def _placed_units(spark, d):
+    u = table(spark, d, "docs").select("num", F.posexplode(F.arrays_zip("hashes", "unit_words", "ends")).alias("i", "x"))
+    return u.select("num", (F.col("i") + 1).alias("i"), F.col("x.hashes").alias("h"), F.col("x.unit_words").alias("w"), F.col("x.ends").alias("e")).filter("h <> 0")
+
+
+def _blocks(p):
+    """Matched units (a, b, i, w, e) of a joined to blocks."""
+    w = W.partitionBy("a", "b").orderBy("i")
+    s = p.withColumn("cut", F.when(F.col("e") - F.col("w") - F.lag("e").over(w) <= 300, 0).otherwise(1)).withColumn("block", F.sum("cut").over(w))
+    return s.groupBy("a", "b", "block").agg(F.min("i").alias("from_unit"), F.max("i").alias("to_unit"), F.sum("w").alias("held"), (F.max("e") - F.min(F.col("e") - F.col("w"))).alias("words"))
+
+
 @query(f"""
     WITH {_SHARED_UNITS}, m AS (SELECT u.* FROM u JOIN k USING (h)), p AS (SELECT DISTINCT a.num AS a, b.num AS b, a.i, a.w, a.e FROM m a JOIN m b ON a.h = b.h AND a.num <> b.num),
     g AS (SELECT *, CASE WHEN e - w - lag(e) OVER (PARTITION BY a, b ORDER BY i) <= 300 THEN 0 ELSE 1 END AS cut FROM p), s AS (SELECT *, sum(cut) OVER (PARTITION BY a, b ORDER BY i) AS block FROM g)
     SELECT a, b, block, min(i) AS from_unit, max(i) AS to_unit, sum(w) AS held, max(e) - min(e - w) AS words FROM s GROUP BY 1, 2, 3
 """)
 def match_blocks(spark, d):
-    """Blocks of a text that another holds: matched units joined over gaps of at most 300 words, with the words held and those in between."""
-    u = table(spark, d, "docs").select("num", F.posexplode(F.arrays_zip("hashes", "unit_words", "ends")).alias("i", "x")).select("num", (F.col("i") + 1).alias("i"), F.col("x.hashes").alias("h"), F.col("x.unit_words").alias("w"), F.col("x.ends").alias("e")).filter("h <> 0")
+    """Blocks of a text that another holds: matched units joined over gaps of at most 300 words, with the words held and those in between.
+
+    Only units of two to six texts match, as in the SQL; pair_blocks has no such rule."""
+    u = _placed_units(spark, d)
     k = u.select("num", "h").distinct().groupBy("h").agg(F.count("*").alias("c")).filter("c BETWEEN 2 AND 6").select("h")
     m = stored(u.join(k, "h"))
     p = m.alias("x").join(m.alias("y"), F.expr("x.h = y.h AND x.num <> y.num")).select(F.col("x.num").alias("a"), F.col("y.num").alias("b"), "x.i", "x.w", "x.e").distinct()
-    w = W.partitionBy("a", "b").orderBy("i")
-    s = p.withColumn("cut", F.when(F.col("e") - F.col("w") - F.lag("e").over(w) <= 300, 0).otherwise(1)).withColumn("block", F.sum("cut").over(w))
-    return s.groupBy("a", "b", "block").agg(F.min("i").alias("from_unit"), F.max("i").alias("to_unit"), F.sum("w").alias("held"), (F.max("e") - F.min(F.col("e") - F.col("w"))).alias("words"))
+    return _blocks(p)
+
+
+@query()
+def pair_blocks(spark, d):
+    """Blocks as in match_blocks for the texts of every matched pair of files, in both directions, by units of any number of texts."""
+    f = table(spark, d, "files").filter("doc IS NOT NULL").select("path", "doc").distinct()
+    p = table(spark, d, "pairs").select(F.col("a.path").alias("p"), F.col("b.path").alias("q")).distinct()
+    p = p.join(f.select(F.col("path").alias("p"), F.col("doc").alias("x")), "p").join(f.select(F.col("path").alias("q"), F.col("doc").alias("y")), "q").filter("x <> y")
+    p = stored(p.select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b")), F.struct(F.col("y").alias("a"), F.col("x").alias("b")))).alias("s")).select("s.a", "s.b").distinct())
+    u = _placed_units(spark, d)
+    have = p.join(u.select(F.col("num").alias("b"), "h").distinct(), "b")
+    return _blocks(p.join(u.withColumnRenamed("num", "a"), "a").join(have, ["a", "b", "h"], "left_semi").select("a", "b", "i", "w", "e"))
 
 
 @query("""

@@ -131,6 +131,19 @@ class TestDecide:
         assert got == {8: ("keep", 0), 0: ("cut", 100)} | {i: ("drop", 300) for i in range(1, 8)}
 
 
+class TestBlocks:
+    def test_passage_of_more_than_six_texts(self, spark, tmp_path):
+        from lexmill.plans.curation import pair_blocks
+
+        docs = [(i, [1, 2, 0, 50 + i, 3], [100, 100, 0, 400, 100], [100, 200, 200, 600, 700]) for i in range(8)]
+        spark.createDataFrame(docs, "num long, hashes array<long>, unit_words array<int>, ends array<int>").write.parquet(f"{tmp_path}/docs.parquet")
+        spark.createDataFrame([(f"f{i}", i) for i in range(8)] + [("copy", 0)], "path string, doc long").write.parquet(f"{tmp_path}/files.parquet")
+        pairs = [(("s", "f0"), ("s", "f1")), (("s", "copy"), ("s", "f1")), (("s", "f0"), ("s", "copy"))]
+        spark.createDataFrame(pairs, "a struct<source:string,path:string>, b struct<source:string,path:string>").write.parquet(f"{tmp_path}/pairs.parquet")
+        got = sorted((r.a, r.b, r.from_unit, r.to_unit, r.held, r.words) for r in pair_blocks(spark, str(tmp_path)).collect())
+        assert got == [(a, b, *x) for a, b in ((0, 1), (1, 0)) for x in ((1, 2, 200, 200), (5, 5, 100, 100))]
+
+
 class TestLookup:
     def test_spans(self, spark):
         q = spark.createDataFrame([("a", "one two three four five six seven eight nine ten eleven"), ("b", "nothing of this stands anywhere in the corpus at all"), ("s", "short")], "key string, text string")

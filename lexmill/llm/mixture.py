@@ -4,7 +4,7 @@ Texts, not rows, are mixed: a text that stands in several rows counts once, and
 1. Texts are aggregated by their membership pattern, the set of sources they stand in, with the tokens of each pattern.
 2. For each mix a min-cost flow routes the patterns' tokens to the sources' quotas: the first use of a token costs nothing, the k-th use
    k - 1, up to the least max_repeats among the pattern's sources; so small sources are repeated only as far as needed, evenly, and texts
-   of several sources go where they are needed. The graph has patterns and sources for nodes, not texts.
+   of several sources go where they are needed. The graph has patterns and sources for nodes, not texts; all patterns take part.
 3. Texts are selected along a seeded order: a pattern's texts lie one behind the other on a line, the pattern's flow runs over the line in
    laps, and each source takes its part of that way. Running sums are built over buckets of the order first, so no task sees a whole pattern.
 
@@ -24,64 +24,71 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.token_budget import count_tokens
-from lexmill.scale import small, stored, table
+from lexmill.scale import salted_lookup, small, stored, table
 
-#: Patterns that one flow holds. Rarer ones serve their first source only; the flow stays feasible, shares stay exact.
-MOST_PATTERNS = 2000
 #: Texts of one bucket of the seeded order.
 BUCKET_TEXTS = 20_000
 
 
-class Flow:
-    """Min-cost flow with integer capacities by successive shortest paths."""
-
-    def __init__(self):
-        self.to: list[int] = []
-        self.room: list[int] = []
-        self.cost: list[int] = []
-        self.out: list[list[int]] = []
-
-    def node(self) -> int:
-        self.out.append([])
-        return len(self.out) - 1
-
-    def arc(self, a: int, b: int, room: int, cost: int = 0) -> int:
-        for x, y, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
-            self.out[x].append(len(self.to))
-            self.to.append(y)
-            self.room.append(r)
-            self.cost.append(c)
-        return len(self.to) - 2
-
-    def sent(self, arc: int) -> int:
-        return self.room[arc ^ 1]
-
-    def run(self, source: int, sink: int) -> None:
-        while True:
-            far = {source: 0}
-            via: dict[int, int] = {}
-            queue, waiting = deque([source]), {source}
-            while queue:
-                x = queue.popleft()
-                waiting.discard(x)
-                for e in self.out[x]:
-                    y = self.to[e]
-                    if self.room[e] > 0 and far[x] + self.cost[e] < far.get(y, 1 << 60):
-                        far[y] = far[x] + self.cost[e]
-                        via[y] = e
-                        if y not in waiting:
-                            waiting.add(y)
-                            queue.append(y)
-            if sink not in far:
-                return
-            path, x = [], sink
-            while x != source:
-                path.append(via[x])
-                x = self.to[via[x] ^ 1]
-            least = min(self.room[e] for e in path)
-            for e in path:
-                self.room[e] -= least
-                self.room[e ^ 1] += least
+def send(usable: dict[tuple[str, ...], list[str]], size: dict[tuple[str, ...], int], most: dict[tuple[str, ...], int], quota: dict[str, int]) -> dict[tuple[str, ...], dict[str, int]]:
+    """The min-cost flow: tokens that each pattern sends to each source.
+
+    A path's cost is that of the use it begins with, so uses are sent in turn: all first ones, then all second ones. Within a use a pattern's
+    tokens look for a source with room, moving others' tokens from source to source where needed. The search goes over sources, not patterns;
+    sources from which none with room is reached never reach one again. The work grows in proportion to the patterns."""
+    left, full = dict(quota), set()
+    sent: dict[tuple[str, ...], dict[str, int]] = {p: {} for p in usable}
+    # source -> other source -> patterns that send to the one and may send to the other; entries that no longer hold are dropped when met
+    movable: dict[str, dict[str, list[tuple[str, ...]]]] = {s: {} for s in quota}
+
+    def add(p: tuple[str, ...], s: str, n: int) -> None:
+        if s not in sent[p]:
+            for other in usable[p]:
+                if other != s:
+                    movable[s].setdefault(other, []).append(p)
+        sent[p][s] = sent[p].get(s, 0) + n
+
+    def way(p: tuple[str, ...]) -> list[tuple[str, tuple[str, ...], str]] | str | None:
+        """The moves to a source with room, from it back to the source that p sends to; that source alone if it has room itself."""
+        via: dict = {s: None for s in usable[p] if s not in full}
+        queue = deque(via)
+        while queue:
+            s = queue.popleft()
+            if left[s] > 0:
+                moves = []
+                while via[s]:
+                    moves.append((*via[s], s))
+                    s = via[s][0]
+                return moves or s
+            for other, patterns in movable[s].items():
+                if other in via or other in full:
+                    continue
+                while patterns and s not in sent[patterns[-1]]:
+                    patterns.pop()
+                if patterns:
+                    via[other] = (s, patterns[-1])
+                    queue.append(other)
+        full.update(via)
+        return None
+
+    waiting, use = sorted(usable), 0
+    while waiting := [p for p in waiting if most[p] > use and not full.issuperset(usable[p])]:
+        for p in waiting:
+            tokens = size[p]
+            while tokens and (found := way(p)):
+                moves = [] if isinstance(found, str) else found
+                first, last = (moves[-1][0], moves[0][2]) if moves else (found, found)
+                n = min(tokens, left[last], *[sent[q][s] for s, q, _ in moves])
+                for s, q, other in moves:
+                    sent[q][s] -= n
+                    if not sent[q][s]:
+                        del sent[q][s]
+                    add(q, other, n)
+                add(p, first, n)
+                left[last] -= n
+                tokens -= n
+        use += 1
+    return sent
 
 
 def route(patterns: dict[tuple[str, ...], int], weights: dict[str, float], repeats: dict[str, int], total: int | None = None) -> tuple[dict[tuple[str, ...], dict[str, int]], dict[str, int]]:
@@ -92,19 +99,8 @@ def route(patterns: dict[tuple[str, ...], int], weights: dict[str, float], repea
     size = sum(patterns[p] for p in usable) if total is None else total
     whole = sum(live.values())
     quota = {s: int(size * w / whole) for s, w in live.items()}
-    flow = Flow()
-    start, end = flow.node(), flow.node()
-    place = {s: flow.node() for s in sorted(live)}
-    for s, n in place.items():
-        flow.arc(n, end, quota[s])
-    arcs: dict[tuple[str, ...], dict[str, int]] = {}
-    for p in sorted(usable):
-        n = flow.node()
-        for k in range(min(repeats.get(s, 1) for s in usable[p])):
-            flow.arc(start, n, patterns[p], k)
-        arcs[p] = {s: flow.arc(n, place[s], 1 << 60) for s in usable[p]}
-    flow.run(start, end)
-    return {p: {s: flow.sent(e) for s, e in own.items() if flow.sent(e)} for p, own in arcs.items()}, quota
+    most = {p: min(repeats.get(s, 1) for s in m) for p, m in usable.items()}
+    return send(usable, patterns, most, quota), quota
 
 
 def _texts(docs: DataFrame, seed: int) -> DataFrame:
@@ -114,10 +110,6 @@ def _texts(docs: DataFrame, seed: int) -> DataFrame:
     by_source = counted.groupBy("h", "source").agg(F.min("doc_id").alias("doc_id"), F.max("tokens").alias("tokens"))
     members = by_source.groupBy("h").agg(F.max("tokens").alias("tokens"), F.sort_array(F.collect_list(F.struct("source", "doc_id"))).alias("members")).filter("tokens > 0")
     texts = stored(members.withColumn("pattern", F.transform("members", lambda m: m["source"])).withColumn("order", F.xxhash64("h", F.lit(seed))))
-    sizes = stored(texts.groupBy("pattern").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")))
-    if sizes.count() > MOST_PATTERNS:
-        kept = small(stored(sizes.orderBy(F.desc("tokens"), "pattern").limit(MOST_PATTERNS).select("pattern", F.lit(True).alias("kept"))))
-        texts = stored(texts.join(kept, "pattern", "left").withColumn("pattern", F.when("kept", F.col("pattern")).otherwise(F.slice("pattern", 1, 1))).drop("kept"))
     buckets = max(64, texts.count() // BUCKET_TEXTS)
     placed = texts.withColumn("bucket", F.pmod(F.col("order"), F.lit(buckets)))
     from pyspark.sql import Window as W
@@ -156,9 +148,10 @@ def mix(docs: DataFrame, weights: DataFrame, total: int | None = None, seed: int
         whole = sum(v[0] for v in own.values())
         goals += [(name, s, v[0], v[0] / whole if whole else 0.0, quota.get(s, 0)) for s, v in own.items()]
     plan = spark.createDataFrame(parts, "mix string, pattern array<string>, size long, used long, ways array<struct<source:string,a:long,b:long>>")
+    plan = stored(plan.groupBy("pattern").agg(F.collect_list(F.struct("mix", "size", "used", "ways")).alias("plans")))
     laps = F.sequence(F.lit(0), F.ceil(F.col("used") / F.col("size")).cast("int"))
     middle = F.col("at") + F.floor(F.col("tokens") / 2)
-    rows = texts.join(F.broadcast(plan), "pattern")  # at most MOST_PATTERNS rows for each mix
+    rows = salted_lookup(texts, plan, "pattern", spread=F.col("at")).select("tokens", "members", "at", F.explode("plans").alias("plan")).select("tokens", "members", "at", "plan.*")
     users = F.flatten(F.transform(laps, lambda k: F.transform(F.filter("ways", lambda w: (middle + k * F.col("size") >= w["a"]) & (middle + k * F.col("size") < w["b"])), lambda w: w["source"])))
     used = rows.select("mix", "tokens", "members", users.alias("users")).filter(F.size("users") > 0)
     each = used.select("mix", "tokens", "members", "users", F.explode(F.array_distinct("users")).alias("source"))

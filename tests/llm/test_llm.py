@@ -349,6 +349,36 @@ class TestMixture:
         assert sent[("b",)]["b"] == 200 and sent[("a", "b")]["a"] >= 50
         assert sum(x.get("a", 0) for x in sent.values()) == 200
 
+    def test_flow_is_the_largest(self):
+        rng = random.Random(4)
+        for _ in range(40):
+            patterns = {tuple(sorted(rng.sample("abcde", rng.randrange(1, 5)))): rng.randrange(1, 50) for _ in range(rng.randrange(1, 20))}
+            weights, repeats = {s: rng.random() for s in "abcde"}, {s: rng.randrange(1, 4) for s in "abcde"}
+            most = {p: min(repeats[s] for s in p) for p in patterns}
+            for total in (None, 300):
+                sent, quota = mixture.route(patterns, weights, repeats, total)
+                assert all(n <= patterns[p] * most[p] for p, n in ((p, sum(x.values())) for p, x in sent.items())) and all(set(x) <= set(p) for p, x in sent.items())
+                assert all(sum(x.get(s, 0) for x in sent.values()) <= quota[s] for s in quota)
+                sets = [{s for i, s in enumerate("abcde") if m >> i & 1} for m in range(32)]
+                largest = lambda uses: min(sum(quota[s] for s in a) + sum(patterns[p] * min(most[p], uses) for p in patterns if not a.issuperset(p)) for a in sets)  # noqa: B023, E731
+                assert sum(n for x in sent.values() for n in x.values()) == largest(3)
+                # as much as can be is sent by first uses, then by second ones
+                for uses in (1, 2):
+                    assert sum(min(sum(x.values()), patterns[p] * uses) for p, x in sent.items()) == largest(uses)
+
+    def test_many_patterns(self, spark):
+        rng = random.Random(5)
+        subsets = [[s for i, s in enumerate("abcdefghijkl") if m >> i & 1] for m in rng.sample(range(1, 4096), 2300)]
+        docs = [(100 * k + i, s, f"text number {k}") for k, own in enumerate(subsets) for i, s in enumerate([*own, "z"])]
+        d = spark.createDataFrame(docs, "doc_id long, source string, text string")
+        w = spark.createDataFrame([("m", "z", 1.0, 1), ("m", "a", 0.0, 1)], "mix string, source string, weight double, max_repeats int")
+        chosen, shares = mixture.mix(d, w)
+        rows = chosen.collect()
+        # no text's first source has a weight, but all stand in z
+        assert {r.doc_id // 100 for r in rows} == set(range(2300)) and {r.source for r in rows} == {"z"}
+        z = next(r for r in shares.collect() if r.source == "z")
+        assert z.tokens == z.quota == sum(r.tokens for r in rows)
+
     def test_shares_and_repeats(self, spark):
         rng = random.Random(2)
         docs = [(i, rng.choice("aaaaab"), " ".join(words(rng, rng.randrange(5, 60)))) for i in range(500)]

@@ -51,13 +51,28 @@ def line_dups_global(spark, d):
     SELECT path, count(*) AS n, count(*) FILTER (WHERE one < path) AS taken, count(*) FILTER (WHERE one < path) >= 0.6 * count(*) AS duplicate FROM k JOIN f USING (line) GROUP BY path
 """)
 def paragraph_overlap_share(spark, d):
-    """How much of a file's longer lines stands in an earlier file."""
+    """How much of a file's longer lines stands in an earlier file, duplicates among those; paragraph_overlap_greedy goes by kept files."""
     k = _lines(spark, d).filter(F.size(X.ws_words("line")) >= 8).select("path", F.md5("line").alias("h"))
     f = k.groupBy("h").agg(F.min("path").alias("one"))
     g = k.join(f, "h").groupBy("path").agg(F.count("*").alias("n"), F.count_if(F.col("one") < F.col("path")).alias("taken"))
     return g.withColumn("duplicate", F.col("taken") >= 0.6 * F.col("n"))
 
 
+@query()
+def paragraph_overlap_greedy(spark, d):
+    """How much of a file's longer lines stands in longer files that are kept; from three fifths on the file is a duplicate and takes no lines itself."""
+    from lexmill.operators.decide import decide_units
+
+    k = _lines(spark, d).filter("path IS NOT NULL").select("path", F.size(X.ws_words("line")).alias("words"), F.md5("line").alias("unit"))
+    long = k.filter("words >= 8").groupBy("path", "unit").agg(F.count("*").alias("times"))
+    files = k.groupBy("path").agg(F.sum("words").alias("all"), F.count_if(F.col("words") >= 8).alias("n")).filter("n > 0")
+    # of equal lengths the first path ranks highest: its letters count downwards, and its end above any letter
+    first = F.concat(F.transform(F.split("path", ""), lambda c: -F.ascii(c)), F.array(F.lit(1)))
+    nodes = stored(files.select(F.col("path").alias("id"), F.struct("all", first.alias("first")).alias("rank"), F.col("n").alias("words"), F.lit(False).alias("reference")))
+    fate = decide_units(nodes, long.select(F.col("path").alias("id"), "unit", F.col("times").alias("words")), F.col("covered") >= 0.6 * F.col("words"))
+    return fate.join(nodes, "id").select(F.col("id").alias("path"), F.col("words").alias("n"), F.col("covered").alias("taken"), (F.col("fate") == "drop").alias("duplicate"))
+
+
 @query("""
     WITH b AS (SELECT num, words, array_to_string(list_filter(hashes, lambda x: x <> 0), ',') AS body FROM docs), g AS (SELECT body, count(*) AS n, arg_max(num, (words, -num)) AS leader FROM b WHERE body <> '' GROUP BY body HAVING count(*) >= 2) SELECT num, leader FROM b JOIN g USING (body)
 """)

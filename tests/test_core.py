@@ -130,6 +130,16 @@ class TestDecide:
         # the longest text stays and covers unit 3; the first copy is cut, the others are covered by both
         assert got == {8: ("keep", 0), 0: ("cut", 100)} | {i: ("drop", 300) for i in range(1, 8)}
 
+    def test_only_lines_of_kept_files_are_taken(self, spark, tmp_path):
+        from lexmill.plans.dedup import paragraph_overlap_greedy
+
+        line = lambda k: " ".join(f"w{k}x{i}" for i in range(10))
+        of = {"c": range(0, 10), "b": range(4, 13), "a": range(10, 18), "ab": range(20, 24), "aa": range(20, 24), "s": []}
+        spark.createDataFrame([(p, "\n".join([*map(line, own), "short line"])) for p, own in of.items()] + [("null", None)], "path string, text string").write.parquet(f"{tmp_path}/files.parquet")
+        got = {r.path: (r.n, r.taken, r.duplicate) for r in paragraph_overlap_greedy(spark, str(tmp_path)).collect()}
+        # b is a duplicate of the longer c, so a keeps the lines that only b shares with it; of two equal files the first path stays
+        assert got == {"c": (10, 0, False), "b": (9, 6, True), "a": (8, 0, False), "aa": (4, 0, False), "ab": (4, 4, True)}
+
 
 class TestBlocks:
     def test_passage_of_more_than_six_texts(self, spark, tmp_path):

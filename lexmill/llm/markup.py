@@ -48,7 +48,9 @@ _bare_entities = sorted({n for n in html.entities.html5 if not n.endswith(";") a
 _tag = rf"<!--.*?(?:-->|$)|<!doctype[^>\n]*>?|<\s?/?\s?{_name}(?:\s+[^<>]*|\s*/)?\s*>|</?{_name}(?:\s[^<>\n]*)?$|</{_name}(?=[\s<])"
 _scrap = r"\b(?:class|id|style|href|src|align|target)=(?:\"[^\"\n<>]*\"|'[^'\n<>]*')\s*/?>"
 _entity = rf"&(?:amp;)?(?:[a-zA-Z][a-zA-Z0-9]{{1,30}};|\#\d{{1,7}};?|\#[xX][0-9a-fA-F]{{1,6}};?|(?:{'|'.join(_bare_entities)})(?![\w=]))"
-_inside = r"[^\n{0}]*(?:\n(?!\s*\n)[^\n{0}]*)?"
+# emphasis ends within its paragraph, that is before a blank line; a run of quotes between blanks opens and closes nothing
+_inside = r"[^\n{0}]*(?:\n(?!\s*\n)[^\n{0}]*)*"
+_quoted = r"(?:[^\n']++|'(?!')|\n(?!\s*\n)|(?<=\s)'{2,}(?=\s)|'{6,})*+"
 _formula = r"\$\$[^$]+\$\$|\\\([^\n]*?\\\)|(?<!\\)\\\[(?!\d+(?:pt|em|ex|cm|mm)\])[^\]]*\\\]|\$(?![\s\d])[^$\n]*[\\^_{}=+<>][^$\n]*(?<!\s)\$(?!\d)|\$\d[^$\n]*[\\^_{}=][^$\n]*(?<!\s)\$(?!\d)"
 #: The marks of each kind.
 MARKS = {
@@ -59,7 +61,8 @@ MARKS = {
         rf"|~~(?=\S){_inside.format('~')}(?<=\S)~~|!?\[[^\]\[]*\]\([^)\s]+(?:\s[^)\n]*)?\)|\[\^[^\]\s]+\]|^\[[^\]\n]+\]:\s|(?<!`)`(?=\S)[^`\n']*(?<=\S)`(?!`)"
         r"|^[ ]{0,3}\|?\s*:?-{3,}:?\s*(?:\|\s*:?-{3,}:?\s*)+\|?[ \t\r]*$", re.M),
     "wiki": re.compile(
-        r"(?<!')'{2,5}(?=[^\s'])[^\n]{0,400}?(?:\n(?!\s*\n)[^\n]{0,200}?)?(?<=[^\s'])'{2,5}(?!')|\[\[|\]\]|(?<![\w}\\])\{\{\s*[\w#:]|^\{\||^\|-[ \t\r]*$|^\|\}|^={2,6}[^=\n][^\n]*?={2,6}[ \t\r]*$|^:{1,5}[ ]?\S(?![)(DPp]\s)(?=[^\n]{12})"
+        rf"(?<!')'{{2,5}}(?=[^\s']){_quoted}(?<=[^\s'])'{{2,5}}(?!')"
+        r"|\[\[|\]\]|(?<![\w}\\])\{\{\s*[\w#:]|^\{\||^\|-[ \t\r]*$|^\|\}|^={2,6}[^=\n][^\n]*?={2,6}[ \t\r]*$|^:{1,5}[ ]?\S(?![)(DPp]\s)(?=[^\n]{12})"
         r"|\[https?://[^\s\]]+\s[^\]\n]+\]|</?(?:ref|nowiki|gallery|noinclude|includeonly)\b|^\#REDIRECT|__(?:NO)?TOC__", re.M),
     "latex": re.compile(
         rf"\\(?:begin|end)\s*\{{|\\[a-zA-Z]+\*?\s?(?:\[[^\]\n]*\])?\{{|(?:^|(?<=[\s({{\[$~.,;:!?\"”’»—–-]))(?<![A-Za-z]:)\\(?!\\)[a-zA-Z]{{2,}}\b(?![\\.\w])|\{{\\[a-z]{{2,3}}\b|\\\\(?:\[[^\]\n]*\])?[ \t\r]*$|\\[&%$](?=\W)|^%[ ]|{_formula}|\w_\{{[^}}\n]*\}}|\w\^\{{[^}}\n]*\}}", re.M),
@@ -208,6 +211,13 @@ _wiki_line = [
     (re.compile(r"\[\[(?:[^\]\[|\n]*\|)?([^\]\[|\n]*)\]\]"), r"\1"), (re.compile(r"\[https?://\S+\s([^\]\n]+)\]"), r"\1"), (re.compile(r"\[\[|\]\]"), ""),
     (re.compile(r"'{2,5}(?=\S)(.+?)(?<=\S)'{2,5}"), r"\1"), (re.compile(r"</?(?:ref|nowiki|gallery|noinclude|includeonly)\b[^>]*>"), ""),
 ]
+#: Emphasis that may run over line ends, with what it holds.
+_md_across = [
+    re.compile(rf"(?<![\w*\\])\*\*(?=[^\s*])({_inside.format('*')})(?<=[^\s*])\*\*(?!\*)"), re.compile(rf"(?<![\w*\\])\*(?=[^\s*])({_inside.format('*')})(?<=[^\s*])\*(?![\w*])"),
+    re.compile(rf"(?<![\w\\])_(?=[^\W_]|[\"“«'’‘(¿¡])({_inside.format('_')})(?<=[^\s_])_(?!\w)"), re.compile(rf"~~(?=\S)({_inside.format('~')})(?<=\S)~~"),
+]
+_wiki_across = [re.compile(rf"(?<!')'{{2,5}}(?=[^\s'])({_quoted})(?<=[^\s'])'{{2,5}}(?!')")]
+_verbatim = re.compile(r"^\s{0,3}(```+|~~~+).*?(?:^\s*\1|\Z)|\\begin\{(verbatim|lstlisting)\}.*?(?:\\end\{\2\}|\Z)", re.M | re.S)
 _tex_line = [
     (re.compile(r"~?\\(?:cite|label|ref|pageref|index|vspace|hspace|input|includegraphics)\*?(?:\[[^\]\n]*\])?\{[^{}\n]*\}"), ""), (re.compile(r"\\footnote\{([^{}\n]*)\}"), r" (\1)"),
     (re.compile(r"\{\\(?:it|bf|em|sc|rm|tt|sl|large|small)\b\s*([^{}\n]*)\}"), r"\1"), (re.compile(r"\\(?:text\w+|emph|underline|mbox|title|author|date|href\{[^{}]*\}|url)\s?\{([^{}\n]*)\}"), r"\1"),
@@ -234,12 +244,25 @@ def _apply(rules, line: str) -> str:
     return line
 
 
+def _without_across(text: str, rules: list[re.Pattern]) -> str:
+    """The text without the signs of emphasis that runs over line ends; code and formulas stay as they are."""
+    for rx in rules:
+        for _ in range(3):
+            fixed = [m.span() for r in (_verbatim, _formulas_of) for m in r.finditer(text)]
+            new = rx.sub(lambda m: m[0] if "\n" not in m[0] or any(a < m.end() and m.start() < b for a, b in fixed) else m[1], text)  # noqa: B023
+            if new == text:
+                break
+            text = new
+    return text
+
+
 def line_blocks(text: str, kinds: list[str]) -> list[Block]:
     """Blocks of Markdown, wiki and TeX, which mark them by lines."""
     out: list[Block] = []
     md, wiki, tex = ("markdown" in kinds), ("wiki" in kinds), ("latex" in kinds)
     fence, wikitable = "", False
-    for line in text.replace("\r\n", "\n").split("\n"):
+    text = _without_across(text.replace("\r\n", "\n"), (_md_across if md else []) + (_wiki_across if wiki else []))
+    for line in text.split("\n"):
         bare = line.strip()
         if fence:
             if bare.startswith(fence):

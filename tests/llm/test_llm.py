@@ -261,6 +261,17 @@ class TestGroups:
 
 
 class TestMarkup:
+    @pytest.mark.parametrize(("kind", "sign"), [("wiki", "''"), ("wiki", "'''"), ("markdown", "*"), ("markdown", "**"), ("markdown", "_"), ("markdown", "~~")])
+    def test_emphasis_over_a_paragraph(self, kind, sign):
+        long, lines = "It was the captain's word " * 40 + "then", "\n".join(["It was the captain's word"] * 5)
+        for body in (long, lines):
+            text = f"Before.\n\nSo {sign}{body}{sign} it went.\n\nAfter."
+            assert markup.kinds_of(text) == [kind]
+            clean, kinds = markup.clean_text(text)
+            assert kinds == [kind] and sign not in clean.replace("captain's", "") and clean.count("captain's word") == text.count("captain's word")
+        # a blank line ends the paragraph
+        assert markup.kinds_of(f"So {sign}it went\n\nand ended{sign} here") == []
+
     @pytest.mark.parametrize(
         ("text", "kinds"),
         [

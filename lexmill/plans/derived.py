@@ -102,7 +102,8 @@ def norm_word_counts(spark, d):
 @query()
 def mended_breaks(spark, d):
     """Texts whose broken words were mended by the corpus's own vocabulary."""
-    docs = table(spark, d, "documents").filter("text IS NOT NULL AND lang = 'en'").select("doc_id", "text")
+    english = F.lower(F.element_at(F.split(F.trim("lang"), "[-_]"), 1)) == "en"  # EN, en-EN; of null the language isn't known
+    docs = table(spark, d, "documents").filter(F.col("text").isNotNull() & english).select("doc_id", "text")
     vocabulary = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return layout.mended(docs, vocabulary, out="mended").filter("mended <> text").select("doc_id", "mended")
 

@@ -141,6 +141,16 @@ class TestDecide:
         assert got == {"c": (10, 0, False), "b": (9, 6, True), "a": (8, 0, False), "aa": (4, 0, False), "ab": (4, 4, True)}
 
 
+class TestMendedBreaks:
+    def test_language_codes_of_any_form(self, spark, tmp_path, monkeypatch):
+        from lexmill.plans import derived
+
+        langs = ["en", "EN", "en-EN", "en_GB", "de", "und", "eng-x", "", None]
+        spark.createDataFrame([(i, x, "a text") for i, x in enumerate(langs)] + [(99, "en", None)], "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+        monkeypatch.setattr(derived.layout, "mended", lambda df, vocabulary, out: df.withColumn(out, F.lit("mended")))
+        assert sorted(r.doc_id for r in derived.mended_breaks(spark, str(tmp_path)).collect()) == [0, 1, 2, 3]
+
+
 class TestBlocks:
     def test_passage_of_more_than_six_texts(self, spark, tmp_path):
         from lexmill.plans.curation import pair_blocks

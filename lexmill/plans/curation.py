@@ -62,17 +62,31 @@ def pair_containment(spark, d):
 _HEADS = "SELECT path, n, line FROM (SELECT path, generate_subscripts(ls, 1) AS n, unnest(ls) AS line FROM (SELECT path, string_split(text, chr(10)) AS ls FROM files WHERE text IS NOT NULL)) WHERE regexp_matches(line, '^[A-Z][^.!?]{4,60}\\z')"
 
 
+def _common_headings(spark, d):
+    """a < b and the lines x and y at which a heading of both stands first."""
+    l = table(spark, d, "files").filter("text IS NOT NULL").select("path", F.posexplode(F.split("text", "\n")).alias("n", "line")).filter(F.col("line").rlike(r"^[A-Z][^.!?]{4,60}\z"))
+    h = l.groupBy("path", "line").agg(F.min("n").alias("n"))
+    m = stored(h.join(h.groupBy("line").agg(F.count("*").alias("c")).filter("c BETWEEN 2 AND 12").select("line"), "line"))
+    return m.alias("x").join(m.alias("y"), F.expr("x.line = y.line AND x.path < y.path")).select(F.col("x.path").alias("a"), F.col("y.path").alias("b"), F.col("x.n").alias("x"), F.col("y.n").alias("y"))
+
+
 @query(f"""
     WITH h AS (SELECT path, min(n) AS n, line FROM ({_HEADS.replace(chr(92) + 'z', chr(92) + 'z')}) GROUP BY path, line), k AS (SELECT line FROM h GROUP BY line HAVING count(*) BETWEEN 2 AND 12), m AS (SELECT h.* FROM h JOIN k USING (line))
     SELECT a.path AS a, b.path AS b, count(*) AS shared FROM m a JOIN m b ON a.line = b.line AND a.path < b.path GROUP BY 1, 2 HAVING count(*) >= 2 AND max(a.n) - min(a.n) <= 30 AND max(b.n) - min(b.n) <= 30
 """)
 def shared_headings(spark, d):
-    """Files with two common headings close together in both; a heading in more than twelve files is common by definition."""
-    l = table(spark, d, "files").filter("text IS NOT NULL").select("path", F.posexplode(F.split("text", "\n")).alias("n", "line")).filter(F.col("line").rlike(r"^[A-Z][^.!?]{4,60}\z"))
-    h = l.groupBy("path", "line").agg(F.min("n").alias("n"))
-    m = stored(h.join(h.groupBy("line").agg(F.count("*").alias("c")).filter("c BETWEEN 2 AND 12").select("line"), "line"))
-    p = m.alias("x").join(m.alias("y"), F.expr("x.line = y.line AND x.path < y.path")).groupBy(F.col("x.path").alias("a"), F.col("y.path").alias("b"))
-    return p.agg(F.count("*").alias("shared"), (F.max("x.n") - F.min("x.n")).alias("u"), (F.max("y.n") - F.min("y.n")).alias("v")).filter("shared >= 2 AND u <= 30 AND v <= 30").select("a", "b", "shared")
+    """Files with two common headings, all of them close together in both; a heading in more than twelve files is common by definition."""
+    p = _common_headings(spark, d).groupBy("a", "b")
+    return p.agg(F.count("*").alias("shared"), (F.max("x") - F.min("x")).alias("u"), (F.max("y") - F.min("y")).alias("v")).filter("shared >= 2 AND u <= 30 AND v <= 30").select("a", "b", "shared")
+
+
+@query()
+def near_headings(spark, d):
+    """The same if any two of the common headings are close together in both, however far away others are."""
+    # a line is one heading, so at most thirty stand in the window
+    before = F.collect_list("y").over(W.partitionBy("a", "b").orderBy("x").rangeBetween(-30, -1))
+    p = _common_headings(spark, d).withColumn("before", before).withColumn("near", F.exists("before", lambda other: F.abs(other - F.col("y")) <= 30))
+    return p.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("near").alias("near")).filter("near").select("a", "b", "shared")
 
 
 @query("""

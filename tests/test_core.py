@@ -141,6 +141,17 @@ class TestDecide:
         assert got == {"c": (10, 0, False), "b": (9, 6, True), "a": (8, 0, False), "aa": (4, 0, False), "ab": (4, 4, True)}
 
 
+class TestHeadings:
+    def test_far_headings_do_not_hide_near_ones(self, spark, tmp_path):
+        from lexmill.plans.curation import near_headings
+
+        page = lambda *at: "\n".join({k: v for v, k in at}.get(i, "some text.") for i in range(200))
+        one, two, three = "The First Part", "The Second Part", "The Third Part"
+        texts = {"a": page((one, 5), (two, 35), (three, 190)), "b": page((two, 100), (one, 110), (three, 3)), "c": page((one, 0), (two, 31), (three, 150)), "d": page((one, 0))}
+        spark.createDataFrame([*texts.items(), ("null", None)], "path string, text string").write.parquet(f"{tmp_path}/files.parquet")
+        assert [tuple(r) for r in near_headings(spark, str(tmp_path)).collect()] == [("a", "b", 3)]
+
+
 class TestMendedBreaks:
     def test_language_codes_of_any_form(self, spark, tmp_path, monkeypatch):
         from lexmill.plans import derived

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from lexmill.scale import shared_folder
+from lexmill.scale import new_folder
 
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
@@ -114,7 +113,7 @@ def feed(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
 def run_once(df: DataFrame, mode: str = "append") -> DataFrame:
     """Runs what is there to its end into a table of the shared folder and returns a read of it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    path = new_folder(spark, "stream")
     q = df.writeStream.format("parquet").outputMode(mode).option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{path}/rows")

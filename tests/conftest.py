@@ -9,12 +9,24 @@ os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(os.path.dirname(os.p
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.host", "127.0.0.1").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.host", "127.0.0.1").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def _nothing_left(request):
+    """Each test runs in a scope of its own, which leaves no intermediate data."""
+    from lexmill import scale
+
+    with scale.scope():
+        yield
+    if "spark" in request.fixturenames:
+        folder = scale.shared_folder(request.getfixturevalue("spark"))
+        assert not [x for x in os.listdir(folder) if x.startswith(("stored-", "stream-"))]

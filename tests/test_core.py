@@ -2,6 +2,7 @@
 
 import io
 import json
+import os
 import random
 import zipfile
 
@@ -30,6 +31,36 @@ class TestScale:
                 assert sorted(map(tuple, scale.salted_lookup(left, right, "k", how, limit=limit).select("k", "id", "v").collect()), key=str) == want
 
 
+    def test_broadcast_goes_by_bytes(self, spark):
+        left = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+        right = scale.stored(spark.range(5).select(F.col("id").alias("k"), F.repeat(F.lit("é"), 1000).alias("t"), F.array(F.struct(F.lit("ab").alias("s"), F.lit(1).alias("n"))).alias("l")))
+        assert 10_000 < scale.bytes_of(right) < 11_000 and scale.bytes_of(right.select("k"), 5) == 5 * (8 + scale.ROW_BYTES)
+        for limit, salted in ((1000, True), (100_000, False)):
+            df = scale.salted_lookup(left, right, "k", limit=limit)
+            assert ("_salt" in df._jdf.queryExecution().analyzed().toString()) is salted and df.count() == 715
+        assert scale.bytes_of(right.limit(0)) == 0
+
+    def test_scope_deletes(self, spark):
+        with scale.scope():
+            scale.stored(spark.range(3))
+            assert any(x.startswith("stored-") for x in os.listdir(scale.shared_folder(spark)))
+        assert not any(x.startswith("stored-") for x in os.listdir(scale.shared_folder(spark)))
+
+    def test_no_local_folder_on_a_cluster(self):
+        class Unset:
+            def get(self, name, default):
+                return default
+
+        class Context:
+            master = "spark://x:7077"
+
+        class Session:
+            conf, sparkContext = Unset(), Context()
+
+        with pytest.raises(RuntimeError):
+            scale.shared_folder(Session())
+
+
 class TestGraph:
     def test_components(self, spark):
         rng = random.Random(3)

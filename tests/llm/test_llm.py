@@ -173,19 +173,54 @@ class TestLeaks:
 
     def test_wand_finds_all_above_threshold(self):
         rng = random.Random(4)
-        index = leaks.Index([(f"k{i}", " ".join(words(rng, 60, 12))) for i in range(300)], least=6)
+        texts = [leaks.hashed_words(" ".join(words(rng, 60, 12))) for _ in range(300)]
+        runs = [shared_spans.run_hashes(w, leaks.TERM).tolist() for w in texts]
+        many = {}
+        for r in runs:
+            for t in set(r):
+                many[t] = many.get(t, 0) + 1
+        index = leaks.Index(leaks.pack([*range(300)], texts, {t: n for t, n in many.items() if n > 1}, 300, 56.0, 6), 6)
+        place = {t: n for n, t in enumerate(index.a["terms"].tolist())}
+        assert place.keys() == many.keys()
+        for n, t in enumerate(index.a["terms"].tolist()):
+            own = index.a["post_item"][index.a["ends"][n] : index.a["ends"][n + 1]].tolist()
+            assert own == [k for k, r in enumerate(runs) if t in r]
+        weights = [{} for _ in runs]
+        for n, t in enumerate(index.a["terms"].tolist()):
+            for x in range(index.a["ends"][n], index.a["ends"][n + 1]):
+                weights[index.a["post_item"][x]][t] = float(index.a["post_weight"][x])
+        for k, r in enumerate(runs):  # never above the least weight of a run of six words
+            assert index.a["threshold"][k] <= min(sum(weights[k][t] for t in set(r[i : i + 2])) for i in range(len(r) - 1))
         for _ in range(50):
-            terms = set(leaks.terms_of(words(rng, 40, 12)))
-            terms = {t for t in terms if t in index.postings}
+            terms = {place[t] for t in shared_spans.run_hashes(leaks.hashed_words(" ".join(words(rng, 40, 12))), leaks.TERM).tolist() if t in place}
             scores = {}
-            for t in terms:
-                for n, w in index.postings[t]:
-                    scores[n] = scores.get(n, 0) + w
-            assert sorted(index.search(terms)) == sorted(n for n, s in scores.items() if s >= max(index.threshold[n], index.lowest))
+            for n in terms:
+                for x in range(index.a["ends"][n], index.a["ends"][n + 1]):
+                    scores[int(index.a["post_item"][x])] = scores.get(int(index.a["post_item"][x]), 0) + float(index.a["post_weight"][x])
+            assert sorted(index.search(sorted(terms))) == sorted(n for n, x in scores.items() if x >= max(index.a["threshold"][n], index.lowest))
+
+    def test_parts_and_equal_texts(self, spark):
+        """Many parts give the rows of one; items of one text are one item with many keys, repeated items give one row."""
+        rng = random.Random(12)
+        texts = [" ".join(words(rng, 40, 300)) for _ in range(30)]
+        items = [(f"k{i}", t) for i, t in enumerate(texts)] + [(f"copy{i}", texts[0]) for i in range(400)] + [("k3", texts[3]), (None, texts[4])]
+        docs = [(i, " ".join(words(rng, 50)) + " " + " ".join(texts[i % 40].split()[5 : 5 + rng.choice((14, 15, 30))] if i % 40 < 30 else [])) for i in range(200)]
+        d, h = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "key string, text string").repartition(3)
+        one = sorted(map(tuple, leaks.leaked_items(d, h).collect()), key=str)
+        assert one == sorted(map(tuple, leaks.leaked_items(d, h, part_words=100).collect()), key=str)
+        want = set()
+        for i, t in docs:
+            w = t.split()
+            for k, x in items:
+                v = x.split()
+                if {tuple(w[j : j + 15]) for j in range(len(w) - 14)} & {tuple(v[j : j + 15]) for j in range(len(v) - 14)}:
+                    want.add((k, i))
+        assert len(one) == len(set(one)) and set(one) == want and any(k is None for k, _ in want)
 
     def test_empty_tables(self, spark):
         none = spark.createDataFrame([], "key string, text string")
         assert leaks.leaked_items(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), none).count() == 0
+        assert leaks.leaked_items(none.select(F.lit(1).alias("doc_id"), "text"), spark.createDataFrame([("k", "w " * 20)], "key string, text string")).count() == 0
 
 
 class TestSpans:

@@ -40,6 +40,8 @@ PASSAGE = 120
 BLOCK = 64
 #: Words of held-out text in a part of the index, about 32 bytes of arrays each: what a worker holds at a time.
 PART_WORDS = 4_000_000
+#: Words of training text whose terms are looked up at once.
+STRIDE = 500_000
 K1, B = 1.2, 0.75
 _apostrophes = re.compile("['’]")
 _word = re.compile(r"[^\W_]+")
@@ -66,8 +68,8 @@ def _known() -> _Hashes:
 
 
 def hashed_words(text: str) -> np.ndarray:
-    known = _known()
-    return np.array([known[w] for w in words_of(text)], np.uint64)
+    words = words_of(text)
+    return np.fromiter(map(_known().__getitem__, words), np.uint64, len(words))
 
 
 def pack(items: list[int], words: list[np.ndarray], common: dict[int, int], total: int, mean: float, least: int) -> dict[str, np.ndarray]:
@@ -145,9 +147,10 @@ class Index:
         A cursor runs over each term's postings. The pivot is the first item that the sum of the terms' greatest weights could
         lift to the lowest threshold; if the weights of the blocks around it can't, the cursors leap behind the nearest block's end."""
         a, threshold = self.a, self.a["threshold"]
-        most = a["most"][terms].tolist()
-        if sum(most) < self.lowest:
+        most = a["most"][terms]
+        if most.sum(dtype=np.float64) < self.lowest:
             return []
+        most = most.tolist()
         span = lambda name, ends, n: a[name][a[ends][n] : a[ends][n + 1]].tolist()
         lists = [(span("post_item", "ends", n), span("post_weight", "ends", n), span("block_last", "block_ends", n), span("block_most", "block_ends", n)) for n in terms]
         at = [0] * len(lists)
@@ -202,25 +205,34 @@ class Index:
         own = self.runs_of(item)
         return bool((own[np.minimum(np.searchsorted(own, runs), len(own) - 1)] == runs).any())
 
-    def leaks(self, words: np.ndarray) -> list[int]:
-        """Items of the table of which the text, given as hashed words, holds at least `least` consecutive words."""
-        found: set[int] = set()
-        if len(words) < self.least:
-            return []
-        places = self.places(run_hashes(words, TERM))
-        where = np.flatnonzero(places >= 0)
-        if not len(where):
-            return []
-        full = None
+    def leaks_of(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of a text and an item of which it holds at least `least` consecutive words, for all texts, given as hashed words.
+
+        Terms are looked up for all texts at once. Passages of which even the sum of their terms' greatest weights, repeated ones included,
+        lies below the lowest threshold are told in one go; all others are searched."""
+        flat = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        stops = np.cumsum(lengths)
+        places = self.places(run_hashes(flat, TERM))
+        for k in range(1, TERM):  # runs over the end of a text
+            at = stops - k
+            places[at[(at >= 0) & (at < len(places))]] = -1
         step = PASSAGE - self.least + 1
-        for start in range(0, len(words) - self.least + 1, step):
-            a, b = np.searchsorted(where, (start, start + PASSAGE - TERM + 1))
-            if a < b:
-                for item in self.search(np.unique(places[where[a:b]]).tolist()):
-                    full = run_hashes(words, self.least) if full is None else full
-                    if item not in found and self.holds(item, full[start : start + step]):
-                        found.add(item)
-        return self.a["item"][sorted(found)].tolist()
+        passages = np.where(lengths >= self.least, (lengths - self.least) // step + 1, 0)
+        of = np.repeat(np.arange(len(texts)), passages)
+        starts = (stops - lengths)[of] + step * (np.arange(len(of)) - np.repeat(np.cumsum(passages) - passages, passages))
+        ends = np.minimum(starts + PASSAGE, stops[of])
+        where = np.flatnonzero(places >= 0)
+        sums = np.concatenate([[0.0], np.cumsum(self.a["most"][places[where]], dtype=np.float64)])
+        first, last = np.searchsorted(where, starts), np.searchsorted(where, np.maximum(ends - TERM + 1, starts))
+        found: set[tuple[int, int]] = set()
+        for n in np.flatnonzero(sums[last] - sums[first] >= self.lowest - 1e-6).tolist():
+            items = self.search(np.unique(places[where[first[n] : last[n]]]).tolist())
+            if items:
+                full = run_hashes(flat[starts[n] : ends[n]], self.least)
+                found.update((int(of[n]), item) for item in items if (int(of[n]), item) not in found and self.holds(item, full))
+        rows = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return rows[:, 0], self.a["item"][rows[:, 1]]
 
 
 def _hashed(df: DataFrame, key: str, text: str, least: int) -> DataFrame:
@@ -313,15 +325,16 @@ def _found(docs: DataFrame, index: bytes, least: int) -> DataFrame:
         if (mark, least) not in _held:
             _held.clear()
             _held[mark, least] = Index(shared.value, least)
-        own = _held[mark, least]
+        own, none = _held[mark, least], np.zeros(0, np.uint64)
         for batch in batches:
-            items, rows = [], []
-            for n, t in enumerate(batch.column(1).to_pylist()):
-                if t:
-                    mine = own.leaks(hashed_words(t) if as_text else np.asarray(t, np.int64).view(np.uint64))
-                    items += mine
-                    rows += [n] * len(mine)
-            yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), batch.column(0).take(pa.array(rows, pa.int64()))], names=["item", "_doc"])
+            texts = [none if not t else hashed_words(t) if as_text else np.asarray(t, np.int64).view(np.uint64) for t in batch.column(1).to_pylist()]
+            begin = size = 0
+            for n, t in enumerate(texts, 1):
+                size += len(t)
+                if size >= STRIDE or n == len(texts):
+                    rows, items = own.leaks_of(texts[begin:n])
+                    yield pa.RecordBatch.from_arrays([pa.array(items), batch.column(0).take(pa.array(rows + begin))], names=["item", "_doc"])
+                    begin, size = n, 0
 
     return docs.mapInArrow(run, f"item long, _doc {kind}")
 

@@ -77,6 +77,7 @@ def run_hashes(h: np.ndarray, size: int, base: np.uint64 = _BASES[0]) -> np.ndar
         return (raw ^ (raw >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
 
 
+@functools.lru_cache(maxsize=8)
 def _inverse(base: int) -> int:
     return pow(base, -1, 1 << 64)
 

@@ -4,7 +4,8 @@ A text is cut into blocks; each block is read with the marks of HTML, Markdown,
 list item, code, formula, table row or paragraph without them. Whole pages go through two passes of block rules: first link density,
 length and stop-word density decide blocks as text or as furniture of the site as far as they can; then ambiguous short blocks inherit
 the label of the nearest decided neighbours, furniture winning a tie unless both agree on text. Texts that only hold remains keep all their
-blocks; the lines that hold them are found by two passes too: decided by marks of one kind, else inheriting from the nearest decided line.
+blocks; those that hold them are found by two passes too (label_blocks): marks, length, stop words and links decide blocks as remains of a kind
+or as clean, and ambiguous short blocks inherit from the nearest decided ones.
 
 Clean text: blocks apart by an empty line; headings as a line of their own, list items after "- ", code indented by four blanks, formulas
 as their source between dollar signs, table cells apart by a tab.
@@ -69,41 +70,120 @@ MARKS = {
 }
 KINDS = tuple(MARKS)
 _signs = {"html": "<&=", "markdown": "#=`~>*_[|", "wiki": "'[]{|=:<_", "latex": "\\$%{"}
+_every_sign = "".join(sorted({c for x in _signs.values() for c in x}))
 
 
 #: Marks that more than one kind has, with the kinds in order of likelihood: "# " opens a heading or an item of a numbered list.
-SHARED = ((re.compile(r"^[ ]{0,3}\#{1,6}[ \t]+\S", re.M), ("markdown", "wiki")),)
+SHARED = ((re.compile(r"^[ ]{0,3}\#{1,6}[ \t]+\S[^\n]*", re.M), ("markdown", "wiki")),)
 _formulas_of = re.compile(_formula)
+_words = re.compile(r"[^\W\d_]+")
+_links = re.compile(r"\[[^\]\[\n]*\]\([^)\s]+\)|\[\[[^\]\n]*\]\]|<a\s[^<>]*>.*?</a>|https?://\S+", re.I)
+#: Running text: so many characters and such a share of stop words; links: such a share of characters.
+RUNNING, MUCH, LOW, HIGH, LINKED = 70, 200, 0.2, 0.3, 0.3
 
 
-def label_lines(text: str) -> dict[int, set[str]]:
-    """Lines with marks and their kinds, in two passes.
-
-    Pass 1 decides lines by marks that only one kind has; signs within a formula are no marks of Markdown or wiki. Pass 2: a line whose
-    marks several kinds share is ambiguous, and inherits its kind from the nearest decided line of one of them, else takes the likeliest."""
-    starts = [0, *(m.end() for m in re.finditer("\n", text))]
-    line = lambda at: bisect.bisect_right(starts, at)
-    decided: dict[int, set[str]] = {}
-    tex = [m.span() for m in _formulas_of.finditer(text)] if "$" in text or "\\" in text else []
+def density(text: str) -> float:
+    """The share of stop words among the words."""
+    words = [w for w in re.split(r"[^\w’']+", text.lower()) if w]
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+class Spans:
+    """Spans in order that don't overlap, asked whether they touch another span."""
+
+    def __init__(self, spans):
+        self.spans = list(spans)
+        self.starts = [a for a, _ in self.spans]
+
+    def touch(self, start: int, end: int) -> bool:
+        k = bisect.bisect_left(self.starts, end)
+        return k > 0 and self.spans[k - 1][1] > start
+
+
+@dataclass
+class Piece:
+    """A block of an extracted text: its first and last line, its text, the lines with marks of its own kinds, and its label: the kinds of markup
+    of which it holds remains, none if it is clean, None as long as it is ambiguous."""
+
+    first: int
+    last: int
+    text: str
+    marks: dict[int, set[str]] = field(default_factory=dict)
+    shared: tuple[str, ...] = ()
+    label: set[str] | None = None
+
+
+def label_blocks(text: str) -> list[Piece]:
+    """The blocks of an extracted text, labelled in two passes. Blocks are paragraphs; a line with a mark that several kinds share is a block.
+
+    Pass 1 decides. Blocks with marks that only one kind has hold its remains; signs within a formula are no marks of Markdown or wiki. Blocks
+    without marks are clean if they are running text by length, stop words and links; so are long ones with a shared mark, in which the sign is
+    ordinary text. Short blocks with a shared mark are ambiguous.
+    Pass 2: an ambiguous block inherits from the nearest decided block of one of its kinds, whatever clean blocks stand between. In a text without
+    any, it inherits from clean neighbours if it has no words, as numberings have none; a heading of words takes the likeliest kind."""
+    lines = text.split("\n")
+    starts = [0]
+    for x in lines[:-1]:
+        starts.append(starts[-1] + len(x) + 1)
+    at = lambda place: bisect.bisect_right(starts, place)
+    tex = Spans(m.span() for m in _formulas_of.finditer(text)) if "$" in text or "\\" in text else Spans(())
+    own: dict[int, set[str]] = {}
     for kind in KINDS:
         if any(c in text for c in _signs[kind]):
             for m in MARKS[kind].finditer(text):
-                if kind in ("html", "latex") or not any(a < m.end() and m.start() < b for a, b in tex):
-                    decided.setdefault(line(m.start()), set()).add(kind)
-    inherited: dict[int, str] = {}
-    for mark, kinds in SHARED:
-        for m in mark.finditer(text) if "#" in text else ():
-            n = line(m.start())
-            near = min((abs(n - x), x, k) for x, own in decided.items() for k in own if k in kinds) if any(not own.isdisjoint(kinds) for own in decided.values()) else None
-            inherited[n] = near[2] if near else kinds[0]
-    for n, k in inherited.items():
-        decided.setdefault(n, set()).add(k)
-    return decided
+                if kind in ("html", "latex") or not tex.touch(*m.span()):
+                    own.setdefault(at(m.start()), set()).add(kind)
+    shared = {at(m.start()): kinds for mark, kinds in SHARED for m in (mark.finditer(text) if "#" in text else ())}
+    pieces: list[Piece] = []
+    open_ = False
+    for n, line in enumerate(lines, 1):
+        if not line.strip():
+            open_ = False
+        elif n in shared:
+            pieces.append(Piece(n, n, line, shared=shared[n]))
+            open_ = False
+        elif open_:
+            pieces[-1].last = n
+        else:
+            pieces.append(Piece(n, n, line))
+            open_ = True
+    for n, kinds in own.items():
+        k = max(0, bisect.bisect_right(pieces, n, key=lambda p: p.first) - 1)
+        pieces[k].marks.setdefault(n, set()).update(kinds)
+    for p in pieces:
+        if p.marks:
+            p.label = set().union(*p.marks.values())
+        elif p.first < p.last:
+            p.text = "\n".join(lines[p.first - 1 : p.last])
+        if not p.marks and (len(p.text) >= MUCH or not p.shared):
+            linked = sum(m.end() - m.start() for m in _links.finditer(p.text)) if "[" in p.text or "<" in p.text or "://" in p.text else 0
+            n = len(p.text)
+            if n >= RUNNING and linked <= LINKED * n and density(p.text) >= (HIGH if p.shared else LOW):
+                p.label = set()
+    if shared:
+        of = {k: [i for i, p in enumerate(pieces) if p.label and k in p.label] for k in {k for kinds in shared.values() for k in kinds}}
+        for i, p in enumerate(pieces):
+            if p.shared and (p.label is None or p.marks and p.label.isdisjoint(p.shared)):
+                near = []
+                for k in p.shared:
+                    x = bisect.bisect_left(of[k], i)
+                    near += [(abs(pieces[j].first - p.first), pieces[j].first, k) for j in of[k][max(0, x - 1) : x + 1] if j != i]
+                kind = min(near)[2] if near else p.shared[0] if _words.search(p.text) else None
+                p.marks.setdefault(p.first, set()).update([kind] if kind else [])
+                p.label = set().union(*p.marks.values())
+    return pieces
+
+
+def label_lines(text: str) -> dict[int, set[str]]:
+    """Lines with remains of markup and their kinds."""
+    return {n: kinds for p in label_blocks(text) for n, kinds in p.marks.items() if kinds}
 
 
 def kinds_of(text: str) -> list[str]:
     """The kinds of markup of which the text holds marks."""
-    found = set().union(*label_lines(text).values())
+    if not any(c in text for c in _every_sign):
+        return []
+    found = set().union(*(p.label or () for p in label_blocks(text)))
     return [k for k in KINDS if k in found]
 
 
@@ -248,8 +328,8 @@ def _without_across(text: str, rules: list[re.Pattern]) -> str:
     """The text without the signs of emphasis that runs over line ends; code and formulas stay as they are."""
     for rx in rules:
         for _ in range(3):
-            fixed = [m.span() for r in (_verbatim, _formulas_of) for m in r.finditer(text)]
-            new = rx.sub(lambda m: m[0] if "\n" not in m[0] or any(a < m.end() and m.start() < b for a, b in fixed) else m[1], text)  # noqa: B023
+            fixed = [Spans(m.span() for m in r.finditer(text)) for r in (_verbatim, _formulas_of)]
+            new = rx.sub(lambda m: m[0] if "\n" not in m[0] or any(x.touch(*m.span()) for x in fixed) else m[1], text)  # noqa: B023
             if new == text:
                 break
             text = new
@@ -327,7 +407,7 @@ def line_blocks(text: str, kinds: list[str]) -> list[Block]:
     return out
 
 
-def judge(blocks: list[Block], least: int = 70, much: int = 200, low: float = 0.2, high: float = 0.3, link: float = 0.3) -> None:
+def judge(blocks: list[Block], least: int = RUNNING, much: int = MUCH, low: float = LOW, high: float = HIGH, link: float = LINKED) -> None:
     """Labels a page's blocks in two passes.
 
     Pass 1, in characters: mostly links -> furniture; code, formulas and table rows -> text; shorter than `least` -> ambiguous; longer with
@@ -337,8 +417,7 @@ def judge(blocks: list[Block], least: int = 70, much: int = 200, low: float = 0.
     first: list[bool | None] = []
     for b in blocks:
         n = len(b.text)
-        words = [w for w in re.split(r"[^\w’']+", b.text.lower()) if w]
-        dense = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+        dense = density(b.text)
         if b.links > link * n:
             first.append(False)
         elif b.role in ("code", "formula", "cell"):
@@ -475,9 +554,19 @@ def p7_texts(spark, d):
     return clean_texts(table(spark, d, "files")).withColumnRenamed("path", "text_path")
 
 
+def p7_blocks(spark, d):
+    """How the blocks of every extracted text are labelled: as clean, as holding remains, or not at all (short ones without marks)."""
+
+    def of(t):
+        pieces = label_blocks(t) if t else []
+        return {"clean": sum(p.label == set() for p in pieces), "marked": sum(bool(p.label) for p in pieces), "undecided": sum(p.label is None for p in pieces)}
+
+    return _map(table(spark, d, "files"), "path", "text", "clean int, marked int, undecided int", of).withColumnRenamed("path", "text_path")
+
+
 def p7_pages(spark, d):
     """Every fetched page as clean text."""
     return clean_pages(table(spark, d, "raws"))
 
 
-QUERIES = {"p7_found": p7_found, "p7_texts": p7_texts, "p7_pages": p7_pages}
+QUERIES = {"p7_found": p7_found, "p7_texts": p7_texts, "p7_blocks": p7_blocks, "p7_pages": p7_pages}

@@ -322,6 +322,22 @@ class TestMarkup:
     def test_kinds(self, text, kinds):
         assert markup.kinds_of(text) == kinds
 
+    def test_blocks(self):
+        prose = "It was the last of the days and he had not seen that it was so, for they were all on the hill."
+        text = f"{prose}\n\n# 5\n\n{prose}"
+        assert [p.label for p in markup.label_blocks(text)] == [set(), set(), set()] and markup.kinds_of(text) == []
+        text = f"# One\n{prose}\n\n== Two ==\n\n# Three\n\n{prose} [a](/b)\n\n# Four\n\nshort"
+        assert [(p.first, p.label) for p in markup.label_blocks(text)] == [(1, {"wiki"}), (2, set()), (4, {"wiki"}), (6, {"wiki"}), (8, {"markdown"}), (10, {"markdown"}), (12, None)]
+        # a sign within long running text is ordinary
+        assert markup.kinds_of(f"# {prose} {prose} {prose}") == []
+
+    def test_long_texts_take_no_longer_a_character(self):
+        import time
+
+        text = "\n\n".join(f"# Part {i}\n\nThe sum $x_{i}$ and *the dog* and ''the cat'' sat on the mat, while [a link](http://x.y/{i}) stood by." for i in range(9000))
+        began = time.process_time()
+        assert len(text) > 1_000_000 and markup.kinds_of(text) == ["markdown", "wiki", "latex"] and time.process_time() - began < 4
+
     def test_clean_texts_hold_no_remains(self):
         import pyarrow.parquet as pq
 

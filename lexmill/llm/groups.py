@@ -2,72 +2,122 @@
 
 Low-diameter decomposition: every vertex draws an exponential shift and starts to grow a cluster the earlier the greater it is; a vertex
 joins the cluster that reaches it first, that is with the greatest shift less the distance. Clusters are contracted to super-vertices,
-the edges between clusters make the graph of the next level, and the levels' assignments are composed from the last to the first. A
-level needs as many rounds as its clusters' radius, which the shifts' limit bounds however long the chains are; the number of edges
-falls from level to level by a constant factor on average.
+the edges between clusters make the graph of the next level, and the levels' assignments are composed from the last to the first. The
+shifts' limit bounds the rounds of a level however long the chains are; the number of edges falls from level to level by a constant factor
+on average. Once a level has few edges (BASE_EDGES, two numbers each) one task joins them.
 
-Records travel as 64-bit hashes; two records of one hash are looked for first, and another seed is taken if there are any. Hot vertices:
-messages to a vertex are combined before the shuffle, messages from one are salted. Each round is cut by a stored table.
+All rounds of a level are one plan: a round joins the edges to the state of its vertices and combines what reaches each vertex. The edges are
+shuffled by their first vertex once for all rounds, the state comes out of the aggregation in the same partitioning, and so a round shuffles
+nothing but its messages, combined before. Only vertices reached in the round before send any: the rounds since a cluster's start are its
+shift less what is left of it, so no mark is kept. Whatever a task that runs again decides among equals, a vertex bears the name of a vertex
+linked to it, and so groups are right however often executors are lost.
+
+Hot vertices are split: of one with more than HOT_EDGES edges the edges go to as many parts as needed, each linked to it, which changes no
+group and leaves no task with more. Records travel as 63-bit hashes, parts of vertices as odd numbers; records of one hash are looked for first,
+and another seed is taken if there are any.
 
 Defined results: pairs with a null side and pairs of a record with itself link nothing and give no record; repeated and turned pairs are
 one link; an empty table gives no rows; the group is the smallest record (byte order) of all linked; other columns are left out."""
 
 from __future__ import annotations
 
-import functools
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.scale import drop_stored, salted_lookup, stored, table
 
-#: Mean of the shifts and the most that one may be: the radius of a cluster.
-MEAN_SHIFT, MOST_SHIFT = 8.0, 24.0
+#: Mean of the shifts and the most that one may be: the radius of a cluster and the rounds of a level.
+MEAN_SHIFT, MOST_SHIFT = 4.0, 8
+#: Edges of a level that one task joins.
+BASE_EDGES = 20_000
+#: Edges of a vertex before it is split.
+HOT_EDGES = 50_000
 LINKS = ("same work", "contained", "shares a work")
 
 
 def _shift(v: Column, level: int) -> Column:
-    unit = (F.pmod(F.xxhash64(v, F.lit(level), F.lit("shift")), F.lit(1 << 40)).cast("double") + 1) / float(1 << 40)
-    return F.least(-F.log(unit) * MEAN_SHIFT, F.lit(MOST_SHIFT))
+    unit = lambda name: (F.pmod(F.xxhash64(v, F.lit(level), F.lit(name)), F.lit(1 << 40)).cast("double") + 1) / float((1 << 40) + 1)
+    drawn = -F.log(unit("shift")) * MEAN_SHIFT
+    # those beyond the limit start in its last round, in an order of their own
+    return F.when(drawn < MOST_SHIFT, drawn).otherwise(MOST_SHIFT - unit("tie"))
 
 
 def _grow(edges: DataFrame, level: int) -> DataFrame:
     """v, c: every vertex of the stored edges (u, v) with the vertex whose cluster reached it first."""
-    both = stored(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-    state = stored(both.select("v").distinct().select("v", _shift(F.col("v"), level).alias("key"), F.col("v").alias("c"), F.lit(1).alias("fresh")))
-    while True:
-        front = state.filter("fresh = 1 AND key > 1").select(F.col("v").alias("u"), "key", "c")
-        rows = front.count()
-        if not rows:
-            break
-        reached = salted_lookup(both, front, "u", spread=F.col("v"), rows=rows).select("v", (F.col("key") - 1).alias("key"), "c", F.lit(1).alias("fresh"))
-        standing = state.select("v", "key", "c", F.lit(0).alias("fresh"))
-        # of equal rows the standing one must win, or a cluster would be told again and again
-        best = standing.union(reached).groupBy("v").agg(F.max(F.struct("key", "c", (-F.col("fresh")).alias("old"))).alias("s"))
-        new = stored(best.select("v", "s.key", "s.c", (-F.col("s.old")).alias("fresh")))
-        drop_stored(state)
-        state = new
-    drop_stored(both)
-    return state.select("v", "c")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """v, c: every vertex of edges (u, v of bigint, neither null) with one vertex of its component, the same for all of it."""
+    pair = lambda x, y: F.struct(F.col(x).alias("u"), F.col(y).alias("v"))
+    both = edges.select(F.explode(F.array(pair("u", "v"), pair("v", "u"))).alias("e")).select("e.u", "e.v")
+
+    def best(rows: DataFrame, sends: Column) -> DataFrame:
+        """The greatest key that reaches each vertex: what stands at u already, told once for each edge, and what u sends along it."""
+        told = lambda v, key: F.struct(F.col(v).alias("v"), key.alias("key"), F.col("c"))
+        each = F.array(told("u", F.col("key")), F.when(sends & (F.col("key") > 1), told("v", F.col("key") - 1)))
+        return rows.select(F.explode(each).alias("m")).filter("m IS NOT NULL").select("m.*").groupBy("v").agg(F.max("key").alias("key"), F.max_by("c", "key").alias("c"))
+
+    state = best(both.select("u", "v", _shift(F.col("u"), level).alias("key"), F.col("u").alias("c")), F.lit(True))
+    for hops in range(1, MOST_SHIFT - 1):
+        here = state.select(F.col("v").alias("u"), "key", "c", (F.round(_shift(F.col("c"), level) - F.col("key")) == hops).alias("fresh"))
+        state = best(both.join(here.hint("shuffle_hash"), "u"), F.col("fresh"))
+    return stored(state.select("v", "c"))
+
+
+def _split(edges: DataFrame, degrees: DataFrame, level: int, most: int) -> DataFrame:
+    """The edges with vertices of more than `most` edges split into parts that are linked to them."""
+    hot = stored(degrees.filter(F.col("n") > most).select("u", F.ceil(F.col("n") / most).cast("int").alias("parts")))
+    part = lambda v, other, parts: F.when(parts.isNull(), v).otherwise(F.xxhash64(v, F.pmod(F.xxhash64(other), parts), F.lit(level)).bitwiseOR(F.lit(1)))
+    one = salted_lookup(edges, hot, "u", "left", spread=F.col("v")).withColumnRenamed("parts", "pu")
+    two = salted_lookup(one, hot.withColumnRenamed("u", "v"), "v", "left", spread=F.col("u")).withColumnRenamed("parts", "pv")
+    rows = two.select("u", "v", part(F.col("u"), F.col("v"), F.col("pu")).alias("x"), part(F.col("v"), F.col("u"), F.col("pv")).alias("y"))
+    links = rows.filter("u <> x").select("u", F.col("x").alias("v")).union(rows.filter("v <> y").select("v", "y")).distinct()
+    return stored(rows.select("x", "y").union(links).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
+
+
+def _joined(edges: DataFrame) -> DataFrame:
+    """v, c of few edges, by one task."""
+
+    def run(batches):
+        parent: dict[int, int] = {}
+
+        def find(x):
+            root = x
+            while parent.setdefault(root, root) != root:
+                root = parent[root]
+            while parent[x] != root:
+                parent[x], x = root, parent[x]
+            return root
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = find(a), find(b)
+                parent[max(a, b)] = min(a, b)
+        yield pa.RecordBatch.from_arrays([pa.array([*parent], pa.int64()), pa.array([find(x) for x in [*parent]], pa.int64())], names=["v", "c"])
+
+    return stored(edges.select("u", "v").coalesce(1).mapInArrow(run, "v long, c long"))
+
+
+def components(edges: DataFrame, base: int = BASE_EDGES, hot: int = HOT_EDGES) -> DataFrame:
+    """v, c: every vertex of edges (u, v of bigint, even numbers, neither null) with one vertex of its component, the same for all of it; there may be
+    vertices of odd numbers besides."""
     edges = stored(edges.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     levels: list[DataFrame] = []
-    while not edges.isEmpty():
+    while True:
+        degrees = edges.select(F.explode(F.array("u", "v")).alias("u")).groupBy("u").agg(F.count("*").alias("n"))
+        ends, most = degrees.agg(F.sum("n"), F.max("n")).first()
+        if (ends or 0) <= 2 * base:
+            break
+        if most > hot:
+            split = _split(edges, degrees, len(levels), hot)
+            drop_stored(edges)
+            edges = split
         own = _grow(edges, len(levels))
         levels.append(own)
-        rows = own.count()
-        half = salted_lookup(edges, own.select(F.col("v").alias("u"), F.col("c").alias("cu")), "u", spread=F.col("v"), rows=rows)
-        full = salted_lookup(half, own.select("v", F.col("c").alias("cv")), "v", spread=F.col("u"), rows=rows)
-        between = full.filter("cu <> cv").select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).distinct()
-        new = stored(between)
+        half = salted_lookup(edges, own.select(F.col("v").alias("u"), F.col("c").alias("cu")), "u", spread=F.col("v"))
+        full = salted_lookup(half, own.select("v", F.col("c").alias("cv")), "v", spread=F.col("u"))
+        between = stored(full.filter("cu <> cv").select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).distinct())
         drop_stored(edges)
-        edges = new
-    if not levels:
-        return edges.select("v", F.col("u").alias("c"))
-    found = levels.pop()
+        edges = between
+    found = _joined(edges)
+    drop_stored(edges)
     while levels:
         own = levels.pop()
         above = found.select(F.col("v").alias("c"), F.col("c").alias("top"))
@@ -75,18 +125,19 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
-def linked_groups(pairs: DataFrame, a: str = "a", b: str = "b", record: str = "record", group: str = "group") -> DataFrame:
+def linked_groups(pairs: DataFrame, a: str = "a", b: str = "b", record: str = "record", group: str = "group", **limits) -> DataFrame:
     """Each record of the linking pairs with the smallest record of its group."""
     links = stored(pairs.select(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL AND a <> b"))
-    records = stored(links.select(F.explode(F.array("a", "b")).alias("record")).distinct())
     seed = 0
     while True:
-        number = functools.partial(lambda c, s: F.xxhash64(F.lit(s), c), s=seed)
-        if records.groupBy(number(F.col("record")).alias("n")).count().filter("count > 1").isEmpty():
+        number = lambda c: F.shiftleft(F.xxhash64(F.lit(seed), c), 1)  # noqa: B023, E731
+        records = stored(links.select(F.explode(F.array("a", "b")).alias("record")).distinct().select("record", number(F.col("record")).alias("v")))
+        if records.groupBy("v").count().filter("count > 1").isEmpty():
             break
+        drop_stored(records)
         seed += 1
-    found = components(links.select(number(F.col("a")).alias("u"), number(F.col("b")).alias("v")))
-    named = stored(records.select("record", number(F.col("record")).alias("v")).join(found, "v").select("record", "c"))
+    found = components(links.select(number(F.col("a")).alias("u"), number(F.col("b")).alias("v")), **limits)
+    named = stored(records.join(found, "v").select("record", "c"))
     names = stored(named.groupBy("c").agg(F.min("record").alias("name")))
     return salted_lookup(named, names, "c", spread=F.col("record")).select(F.col("record").alias(record), F.col("name").alias(group))
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lexmill import scale
 from lexmill.llm import bytepair, canonical, encode, groups, leaks, markup, mixture, mojibake, shared_spans, site_lines, token_budget
 
 DATA = "/root/testdata/sf0.001"
@@ -291,6 +292,25 @@ class TestGroups:
         rows = groups.linked_groups(df).collect()
         assert len(rows) == len({r.record for r in rows}) and {r.record: r.group for r in rows} == self.brute(pairs)
 
+    def test_levels_and_hot_vertices(self, spark):
+        """Without a last task for few edges and with split vertices the groups are the same."""
+        rng = random.Random(16)
+        pairs = [(f"c{i:04}", f"c{i + 1:04}") for i in range(700)] + [("hub", f"leaf{i}") for i in range(300)] + [("hub", "c0005"), ("hub", "other")] + [("other", f"far{i}") for i in range(200)]
+        pairs += [(f"r{rng.randrange(500)}", f"r{rng.randrange(500)}") for _ in range(260)]
+        df = spark.createDataFrame(pairs, "a string, b string")
+        for limits in ({"base": 0}, {"base": 0, "hot": 40}, {"base": 300, "hot": 40}):
+            rows = groups.linked_groups(df, **limits).collect()
+            assert len(rows) == len({r.record for r in rows}) and {r.record: r.group for r in rows} == self.brute(pairs)
+
+    def test_edges_are_shuffled_once_for_all_rounds(self, spark, monkeypatch):
+        edges = scale.stored(spark.range(5000).select((F.col("id") * 2).alias("u"), (F.col("id") * 2 + 2).alias("v")))
+        monkeypatch.setattr(groups, "stored", lambda df: df)
+        state = groups._grow(edges, 0)
+        assert state.count() == 5001
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        rounds = groups.MOST_SHIFT - 2
+        assert plan.count("ReusedExchange") >= rounds - 1
+
     def test_empty_table(self, spark):
         assert groups.linked_groups(spark.createDataFrame([], "a string, b string")).count() == 0
 

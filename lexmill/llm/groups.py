@@ -30,7 +30,7 @@ from lexmill.scale import drop_stored, salted_lookup, stored, table
 #: Mean of the shifts and the most that one may be: the radius of a cluster and the rounds of a level.
 MEAN_SHIFT, MOST_SHIFT = 4.0, 8
 #: Edges of a level that one task joins.
-BASE_EDGES = 20_000
+BASE_EDGES = 5_000
 #: Edges of a vertex before it is split.
 HOT_EDGES = 50_000
 LINKS = ("same work", "contained", "shares a work")

@@ -155,7 +155,7 @@ def shared_runs(files: DataFrame, num: str = "num", text: str = "text") -> DataF
             runs = pa.StructArray.from_arrays([join(highs, np.int64), join(lows, np.int64), join(starts, np.int32)], names=["high", "low", "at"])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs)], names=["num", "runs"])
 
-    found = files.join(small(wanted, 100_000), "num").mapInArrow(run, f"num {kind}, runs array<struct<high:long,low:long,at:int>>")
+    found = files.join(small(wanted), "num").mapInArrow(run, f"num {kind}, runs array<struct<high:long,low:long,at:int>>")
     rows = stored(found.select("num", F.explode("runs").alias("r")).select("num", "r.high", "r.low", "r.at"))
     twice = rows.groupBy("high", "low").agg(F.min("num").alias("a"), F.max("num").alias("b")).filter("a < b").select("high", "low")
     return rows.join(twice, ["high", "low"])

@@ -149,12 +149,12 @@ def quoted(quote: str, options: list[str]) -> int | None:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def chunks(s: pd.Series, size: pd.Series) -> pd.Series:
-    """Pieces of at least `size` characters cut at blank lines, which put together give the text."""
+    """Pieces of at least `size` characters, cut behind the first blank line from there on, which put together give the text."""
     def cut(t, n):
         if t is None:
             return None
         out, at = [], 0
-        for m in re.finditer(r"\n[ \t]*\n\s*", t):
+        for m in re.finditer(r"^[ \t\r]*\n", t, re.M):
             if m.end() - at >= n and m.end() < len(t):
                 out.append(t[at : m.end()])
                 at = m.end()

@@ -6,6 +6,8 @@ documents, and no component is ever gathered in one task."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ def decide_units(nodes: DataFrame, holdings: DataFrame, whole: Column) -> DataFr
     common = stored(held.groupBy("unit").agg(F.count("*").alias("c")).filter("c > 1").select("unit"))
     rows = stored(salted_lookup(held, common, "unit", spread=F.col("id")).select("unit", "id", "rank", "w"))
     waiting = stored(rows.select("id").distinct().withColumn("covered", F.lit(0).cast("long")))
-    done = stored(nodes.join(waiting, "id", "left_anti").select("id", F.lit("keep").alias("fate"), F.lit(0).cast("long").alias("covered")))
+    done = [stored(nodes.join(waiting, "id", "left_anti").select("id", F.lit("keep").alias("fate"), F.lit(0).cast("long").alias("covered")))]
     for t in (held, common):
         drop_stored(t)
     while not waiting.isEmpty():
@@ -62,8 +64,8 @@ def decide_units(nodes: DataFrame, holdings: DataFrame, whole: Column) -> DataFr
         marked = stored(salted_lookup(rows.join(now, "id", "left_anti"), closed, "unit", "left", spread=F.col("id")))
         gains = marked.filter("closed").groupBy("id").agg(F.sum("w").cast("long").alias("gain"))
         new_waiting = stored(waiting.join(now, "id", "left_anti").join(gains, "id", "left").select("id", (F.col("covered") + F.coalesce("gain", F.lit(0))).alias("covered")))
-        new_done = stored(done.union(now))
-        for t in (done, waiting, now, tops, closed, rows):
+        for t in (waiting, tops, closed, rows):
             drop_stored(t)
-        done, waiting, rows = new_done, new_waiting, marked.filter("closed IS NULL").drop("closed")
-    return done
+        done.append(now)
+        waiting, rows = new_waiting, marked.filter("closed IS NULL").drop("closed")
+    return functools.reduce(DataFrame.union, done)

@@ -17,6 +17,8 @@ from lexmill.functions import text as X
 from lexmill.scale import salted_lookup, stored
 
 SIZE, LEAST = 5, 0.8
+#: Holders of one element that a task pairs with all others of it.
+PAIR_BLOCK = 500
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str = "text", size: int = SIZE) -> DataFrame:
@@ -33,6 +35,16 @@ def classes(sets: DataFrame) -> DataFrame:
     return salted_lookup(marked, stored(marked.groupBy("h").agg(F.min("key").alias("class"))), "h", spread=F.col("key")).select("key", "class")
 
 
+def _met(left: DataFrame, right: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows x of left beside rows y of right (both key, e) of the same element; held: e and the holders it has in right.
+
+    An element of n holders makes ceil(n / PAIR_BLOCK) blocks: each row of left is in one of them, each of right in all."""
+    blocks = held.select("e", F.ceil(F.col("df") / PAIR_BLOCK).cast("int").alias("blocks"))
+    x = salted_lookup(left, blocks, "e", spread=F.col("key")).withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    y = salted_lookup(right, blocks, "e", spread=F.col("key")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return x.alias("x").join(y.alias("y"), F.expr("x.e = y.e AND x.block = y.block"))
+
+
 def similar_pairs(sets: DataFrame, least: float = LEAST) -> DataFrame:
     """a < b and their Jaccard, for class representatives."""
     n = F.size("s")
@@ -40,10 +52,11 @@ def similar_pairs(sets: DataFrame, least: float = LEAST) -> DataFrame:
     elements = sets.select("key", n.alias("n"), F.explode("s").alias("e"))
     rarity = stored(elements.groupBy("e").agg(F.count("*").alias("df")))
     # rarest first; the prefix that must meet another set's prefix
-    ranked = elements.join(rarity, "e").groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("o"))
+    ranked = salted_lookup(elements, rarity, "e", spread=F.col("key")).groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("o"))
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1
     prefix = stored(ranked.select("key", "n", F.posexplode(F.slice("o", 1, keep.cast("int"))).alias("p", "x")).select("key", "n", "p", "x.e"))
-    meet = prefix.alias("x").join(prefix.alias("y"), F.expr("x.e = y.e AND (x.n < y.n OR (x.n = y.n AND x.key < y.key))"))
+    held = stored(prefix.groupBy("e").agg(F.count("*").alias("df")).filter("df > 1"))
+    meet = _met(prefix, prefix, held).filter("x.n < y.n OR (x.n = y.n AND x.key < y.key)")
     meet = meet.filter((F.col("x.n") >= F.col("y.n") * F.lit(least) - 1e-9))
     # at these places the two can share at most so many elements
     most = F.lit(1) + F.least(F.col("x.n") - F.col("x.p") - 1, F.col("y.n") - F.col("y.p") - 1)
@@ -78,13 +91,13 @@ def contained_pairs(sets: DataFrame, least: float = LEAST) -> DataFrame:
     Of a set held to that share by another, one of its rarest |s| - ceil(least |s|) + 1 elements lies in it: only these look for partners."""
     sets = stored(sets)
     elements = stored(sets.select("key", F.size("s").alias("n"), F.explode("s").alias("e")))
-    rarity = elements.groupBy("e").agg(F.count("*").alias("df"))
-    ranked = elements.join(rarity.filter("df > 1"), "e").groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("o"))
+    rarity = stored(elements.groupBy("e").agg(F.count("*").alias("df")).filter("df > 1"))
+    ranked = salted_lookup(elements, rarity, "e", spread=F.col("key")).groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("o"))
     # elements that no other set has come first in the order, and take their part of the prefix
     alone = F.col("n") - F.size("o")
     keep = F.greatest(F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1 - alone, F.lit(0))
     prefix = ranked.select("key", "n", F.explode(F.slice("o", 1, keep.cast("int"))).alias("x")).select("key", "n", "x.e")
-    meet = prefix.alias("x").join(elements.alias("y"), F.expr("x.e = y.e AND x.key <> y.key AND (x.n < y.n OR (x.n = y.n AND x.key < y.key))"))
+    meet = _met(prefix, elements, rarity).filter("x.n < y.n OR (x.n = y.n AND x.key < y.key)")
     pairs = stored(meet.select(F.col("x.key").alias("small"), F.col("y.key").alias("large")).distinct())
     both = pairs.join(sets.select(F.col("key").alias("small"), F.col("s").alias("a")), "small").join(sets.select(F.col("key").alias("large"), F.col("s").alias("b")), "large")
     return both.select("small", "large", (F.size(F.array_intersect("a", "b")) / F.size("a")).alias("share")).filter(F.col("share") >= least - 1e-12)

@@ -86,14 +86,18 @@ def quarantine(spark, d):
 
 
 @query("""
-    WITH k AS (SELECT path, max(updated) AS seen FROM (SELECT text_path AS path, updated FROM jobs WHERE text_path IS NOT NULL AND status = 'done') GROUP BY 1)
-    SELECT coalesce(f.path, k.path) AS path, CASE WHEN f.path IS NULL THEN 'vanished' WHEN k.path IS NULL THEN 'new' WHEN f.size > 3000 THEN 'changed' ELSE 'same' END AS change FROM files f FULL OUTER JOIN k ON f.path = k.path
+    WITH k AS (SELECT text_path AS path, epoch_ns(max(updated)) AS seen, arg_max(words, updated) AS words FROM jobs WHERE text_path IS NOT NULL AND status = 'done' GROUP BY 1), f AS (SELECT path, mtime, d.words FROM files LEFT JOIN docs d ON d.num = files.doc)
+    SELECT coalesce(f.path, k.path) AS path, CASE WHEN f.path IS NULL THEN 'vanished' WHEN k.path IS NULL THEN 'new' WHEN seen IS NULL OR mtime > seen OR k.words IS DISTINCT FROM f.words THEN 'changed' ELSE 'same' END AS change FROM f FULL OUTER JOIN k ON f.path = k.path
 """)
 def listing_changes(spark, d):
-    """A listing against what is known: new, changed, same and vanished in one outer join."""
-    k = table(spark, d, "jobs").filter("text_path IS NOT NULL AND status = 'done'").select(F.col("text_path").alias("path")).distinct().withColumn("known", F.lit(True))
-    f = table(spark, d, "files").select("path", "size").withColumn("listed", F.lit(True))
-    change = F.when(F.col("listed").isNull(), "vanished").when(F.col("known").isNull(), "new").when(F.col("size") > 3000, "changed").otherwise("same")
+    """A listing against what the ledger's last done row knows: new, changed, same and vanished in one outer join.
+
+    A file is the same if it wasn't written to after that row and has as many words as it says."""
+    k = table(spark, d, "jobs").filter("text_path IS NOT NULL AND status = 'done'").groupBy(F.col("text_path").alias("path")).agg(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', max(updated)) * 1000").alias("seen"), F.max_by("words", "updated").alias("were"), F.lit(True).alias("known"))
+    words = table(spark, d, "docs").select(F.col("num").alias("doc"), "words")
+    f = table(spark, d, "files").select("path", "mtime", "doc").join(words, "doc", "left").withColumn("listed", F.lit(True))
+    new = F.col("seen").isNull() | (F.col("mtime") > F.col("seen")) | ~F.col("were").eqNullSafe(F.col("words"))
+    change = F.when(F.col("listed").isNull(), "vanished").when(F.col("known").isNull(), "new").when(new, "changed").otherwise("same")
     return f.join(k, "path", "full_outer").select("path", change.alias("change"))
 
 

@@ -396,13 +396,18 @@ def picks_by_label(spark, d):
 
 
 @query("""
-    WITH t AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(title), '[^a-zà-ÿ]+', ',', 'g'), ','), lambda x: x <> '') AS w FROM documents WHERE title IS NOT NULL) SELECT doc_id, CASE WHEN len(w) > 0 AND w[-1] IN ('bell', 'witch', 'lake', 'vine') THEN w[:-2] ELSE w END AS words FROM t
+    WITH g AS (SELECT list(DISTINCT genre) AS genres FROM documents WHERE genre IS NOT NULL), c AS (SELECT doc_id, list_transform(string_split(concat_ws(', ', title, author, genre), ','), lambda x: trim(x)) AS p FROM documents),
+    k AS (SELECT doc_id, p, greatest(1, coalesce(list_max(list_filter(range(1, len(p) + 1), lambda i: NOT list_contains(genres, p[i]))), 1)) AS n FROM c, g)
+    SELECT doc_id, array_to_string(p[:n], ', ') AS category, array_to_string(p[n + 1:], ', ') AS genres FROM k
 """)
 def category_split(spark, d):
-    """A list cut at its separators, trailing genre words taken off."""
-    w = F.filter(F.split(F.regexp_replace(F.lower("title"), "[^a-zà-ÿ]+", ","), ","), lambda x: x != "")
-    t = table(spark, d, "documents").filter("title IS NOT NULL").select("doc_id", w.alias("w"))
-    return t.select("doc_id", F.when((F.size("w") > 0) & F.coalesce(F.try_element_at("w", F.lit(-1)).isin("bell", "witch", "lake", "vine"), F.lit(False)), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))).otherwise(F.col("w")).alias("words"))
+    """A category of names apart by commas, without the genres at its end: whatever the table of genres holds, up to the first name that is none."""
+    docs = table(spark, d, "documents")
+    genres = docs.filter("genre IS NOT NULL").agg(F.collect_set("genre").alias("known"))
+    c = docs.select("doc_id", F.transform(F.split(F.concat_ws(", ", "title", "author", "genre"), ","), lambda x: F.trim(x)).alias("p")).join(F.broadcast(genres))  # one row: the dimension
+    last = F.array_max(F.filter(F.sequence(F.lit(1), F.size("p")), lambda i: ~F.array_contains("known", F.get("p", i - 1))))
+    k = c.select("doc_id", "p", F.greatest(F.coalesce(last, F.lit(1)), F.lit(1)).alias("n"))
+    return k.select("doc_id", F.array_join(F.slice("p", F.lit(1), F.col("n")), ", ").alias("category"), F.array_join(F.slice("p", F.col("n") + 1, F.size("p")), ", ").alias("genres"))
 
 
 @query()

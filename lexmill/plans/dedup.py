@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from lexmill.functions import text as X
 from lexmill.operators import graph, near
 from lexmill.plans.catalog import query
-from lexmill.scale import stored, table
+from lexmill.scale import salted_lookup, stored, table
 
 
 @query("SELECT path, min(path) OVER (PARTITION BY md5(text)) AS leader, count(*) OVER (PARTITION BY md5(text)) AS copies FROM files WHERE text <> ''")
 def exact_dups(spark, d):
     """Files with the first path that has the same text."""
     f = table(spark, d, "files").filter("text <> ''").select("path", F.md5("text").alias("h"))
-    g = f.groupBy("h").agg(F.min("path").alias("leader"), F.count("*").alias("copies"))
-    return f.join(g, "h").select("path", "leader", "copies")
+    g = stored(f.groupBy("h").agg(F.min("path").alias("leader"), F.count("*").alias("copies")))
+    return salted_lookup(f, g, "h", spread=F.col("path")).select("path", "leader", "copies")
 
 
 @query("""
@@ -25,7 +25,8 @@ def exact_dups(spark, d):
 def fingerprint_dups(spark, d):
     """Texts equal but for white space: all but the first."""
     h = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", F.md5(F.trim(F.regexp_replace("text", r"\s+", " "))).alias("h"))
-    return h.join(h.groupBy("h").agg(F.min("doc_id").alias("first_id")), "h").filter("doc_id <> first_id").select("doc_id", "first_id")
+    first = stored(h.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    return salted_lookup(h, first, "h", spread=F.col("doc_id")).filter("doc_id <> first_id").select("doc_id", "first_id")
 
 
 _LINES = "SELECT path, generate_subscripts(string_split(text, chr(10)), 1) AS n, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM files WHERE text IS NOT NULL"
@@ -42,8 +43,8 @@ def _lines(spark, d):
 def line_dups_global(spark, d):
     """Longer lines that an earlier place of the corpus has, by path and line."""
     k = _lines(spark, d).filter(F.size(X.ws_words("line")) >= 8).select("path", "n", F.md5("line").alias("h"))
-    first = k.groupBy("h").agg(F.min(F.struct("path", "n")).alias("one"))
-    return k.join(first, "h").filter(F.struct("path", "n") != F.col("one")).select("path", F.col("n").alias("line_no"))
+    first = stored(k.groupBy("h").agg(F.min(F.struct("path", "n")).alias("one"), F.count("*").alias("c")).filter("c > 1").drop("c"))
+    return salted_lookup(k, first, "h", spread=F.col("path")).filter(F.struct("path", "n") != F.col("one")).select("path", F.col("n").alias("line_no"))
 
 
 @query(f"""
@@ -53,8 +54,9 @@ def line_dups_global(spark, d):
 def paragraph_overlap_share(spark, d):
     """How much of a file's longer lines stands in an earlier file, duplicates among those; paragraph_overlap_greedy goes by kept files."""
     k = _lines(spark, d).filter(F.size(X.ws_words("line")) >= 8).select("path", F.md5("line").alias("h"))
-    f = k.groupBy("h").agg(F.min("path").alias("one"))
-    g = k.join(f, "h").groupBy("path").agg(F.count("*").alias("n"), F.count_if(F.col("one") < F.col("path")).alias("taken"))
+    # lines of one path only are taken by nobody, so only the others' first paths are looked up
+    f = stored(k.groupBy("h").agg(F.min("path").alias("one"), F.max("path").alias("last")).filter("one < last").drop("last"))
+    g = salted_lookup(k, f, "h", "left", spread=F.col("path")).groupBy("path").agg(F.count("*").alias("n"), F.count_if(F.col("one") < F.col("path")).alias("taken"))
     return g.withColumn("duplicate", F.col("taken") >= 0.6 * F.col("n"))
 
 
@@ -297,8 +299,8 @@ _MARKED = """
 
 def _marked(spark, d):
     u = table(spark, d, "docs").select("num", F.posexplode(F.arrays_zip("hashes", "unit_words", "ends")).alias("i", "x")).select("num", (F.col("i") + 1).alias("i"), F.col("x.hashes").alias("h"), F.col("x.unit_words").alias("w"), F.col("x.ends").alias("e"))
-    k = u.filter("h <> 0").select("num", "h").distinct().groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
-    return u.join(k, "h").select("num", "i", "w", "e")
+    k = stored(u.filter("h <> 0").groupBy("h").agg(F.min("num").alias("a"), F.max("num").alias("b")).filter("a < b").select("h"))
+    return salted_lookup(u, k, "h", spread=F.col("num")).select("num", "i", "w", "e")
 
 
 @query(f"""{_MARKED}, g AS (SELECT *, CASE WHEN e - w - lag(e) OVER (PARTITION BY num ORDER BY i) <= 300 THEN 0 ELSE 1 END AS cut FROM m), s AS (SELECT *, sum(cut) OVER (PARTITION BY num ORDER BY i) AS island FROM g)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexmill.functions import layout
@@ -108,11 +109,19 @@ def mended_breaks(spark, d):
     return layout.mended(docs, vocabulary, out="mended").filter("mended <> text").select("doc_id", "mended")
 
 
-@query("SELECT doc_id, md5(text) AS digest FROM documents WHERE text IS NOT NULL")
+@query("""
+    WITH RECURSIVE l AS (SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line, len(ls) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+    o AS (SELECT doc_id, line, i, n, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - CASE WHEN i = n THEN 1 ELSE 0 END AS upto FROM l),
+    b AS (SELECT doc_id, max(upto) AS total, list(upto ORDER BY upto) FILTER (WHERE i < n AND regexp_matches(line, '^[ \\t\\r]*\\z')) AS blanks FROM o GROUP BY doc_id),
+    c(doc_id, k, pos, upto) AS (SELECT doc_id, 1, CAST(0 AS HUGEINT), coalesce(list_filter(blanks, lambda x: x >= 500 AND x < total)[1], total) FROM b
+      UNION ALL SELECT c.doc_id, k + 1, c.upto, coalesce(list_filter(blanks, lambda x: x >= c.upto + 500 AND x < total)[1], total) FROM c JOIN b ON b.doc_id = c.doc_id WHERE c.upto < total)
+    SELECT c.doc_id, k AS chunk, CAST(pos AS BIGINT) AS start, md5(substr(text, CAST(pos + 1 AS BIGINT), CAST(upto - pos AS BIGINT))) AS digest FROM c JOIN documents d ON d.doc_id = c.doc_id
+""")
 def chunked_texts(spark, d):
-    """Chunks at blank lines, put together again."""
-    c = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", layout.chunks("text", F.lit(500)).alias("c"))
-    return c.select("doc_id", F.md5(F.array_join("c", "")).alias("digest"))
+    """Chunks of at least 500 characters, cut behind blank lines: number, first character and digest of each."""
+    c = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", layout.chunks("text", F.lit(500)).alias("c")).select("doc_id", F.posexplode("c").alias("i", "chunk"))
+    before = F.sum(F.length("chunk")).over(W.partitionBy("doc_id").orderBy("i").rowsBetween(W.unboundedPreceding, -1))
+    return c.select("doc_id", (F.col("i") + 1).alias("chunk"), F.coalesce(before, F.lit(0)).alias("start"), F.md5("chunk").alias("digest"))
 
 
 @query()

@@ -103,12 +103,21 @@ def quality_reasons(spark, d):
 
 #: Signs of the web in a text, the first that matches names it.
 WEB_FLAGS = (
-    ("url", r"https?://|www\."), ("html", r"<(p|div|span|a|br|h[1-6])[ >/]"), ("md_header", r"(^|\n)#{1,6} [A-Z]"), ("md_link", r"\[[^\]]+\]\([^)]+\)"), ("byline", r"(^|\n)[Bb]y [A-Z][a-z]+ [A-Z]"),
-    ("chrome", r"[Ss]ubscribe|[Cc]omments|[Ss]hare "), ("chapter", r"(^|\n)(Chapter|CHAPTER) [0-9IVX]+"), ("copyright", r"©|[Aa]ll rights reserved"), ("tag", r"\[[a-z]+\]"), ("handle", r"(^|\s)@[a-z_]{3,}"), ("hashtag", r"(^|\s)#[a-z]{3,}"),
+    ("url", r"(?i)https?://|\bwww\.[a-z0-9-]+\.|\b[a-z0-9-]+\.(?:com|net|org|edu|gov|io|co\.uk)\b"),
+    ("html", r"(?i)</?(?:a|p|br|div|span|img|h[1-6]|ul|ol|li|table|tr|td|script|style|strong|em|blockquote)\b[^>]{0,200}>"),
+    ("markdown header", r"(?m)^[ \t]{0,3}#{1,6}[ \t]+\S"),
+    ("markdown link", r"\[[^\]\n]{1,80}\]\([^)\n]{1,200}\)"),
+    ("byline", r"(?i)\b(?:photo|photos|photograph|image|illustration|written|posted|submitted|published|reviewed|edited|translated)\s+by\b"),
+    ("blog chrome", r"(?i)\b(?:leave a comment|no comments|\d+\s+comments?|post a comment|subscribe|share this|click here|read more|continue reading|author'?s note|filed under|related posts?|permalink|trackback|reply to this)\b"),
+    ("chapter", r"(?im)^[ \t]*chapter\s+\d"),
+    ("copyright", r"(?i)©|\(c\)\s*(?:19|20)\d{2}|all rights reserved|creative commons|unless otherwise stated, the content of this page"),
+    ("bracket tag", r"(?i)\[(?:wip|oc|edit|deleted|removed|spoilers?|nsfw|tw|cw|citation needed|author'?s note|update)\b[^\]\n]{0,30}\]"),
+    ("handle", r"(?:^|[\s(])@[A-Za-z0-9_]{2,30}\b"),
+    ("hashtag", r"(?:^|[\s(])#[A-Za-z][A-Za-z0-9_]{1,30}\b"),
 )
 
 
-@query("SELECT path, CASE " + " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{n}'" for n, p in WEB_FLAGS) + " END AS flag FROM files WHERE text IS NOT NULL")
+@query("SELECT path, CASE " + " ".join("WHEN regexp_matches(text, '" + p.replace("'", "''") + f"') THEN '{n}'" for n, p in WEB_FLAGS) + " END AS flag FROM files WHERE text IS NOT NULL")
 def web_flag(spark, d):
     flag = F.lit(None).cast("string")
     for name, p in reversed(WEB_FLAGS):

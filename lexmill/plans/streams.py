@@ -261,5 +261,5 @@ def backfill_numbers(spark, d):
     """Standing numbers are kept; the rest get the next ones in first-seen order."""
     g = _events(spark, d).filter("ts < TIMESTAMP '2024-01-03'").groupBy("user_id").agg(F.min("event_id").alias("f"), F.max(F.when(F.col("event_type") == "signup", F.col("event_id"))).alias("have"))
     top = g.agg(F.coalesce(F.max("have"), F.lit(0)).alias("top"))
-    k = F.row_number().over(W.partitionBy(F.col("have").isNull()).orderBy("f"))
-    return g.withColumn("k", k).join(F.broadcast(top)).select("user_id", F.coalesce("have", F.col("top") + F.col("k")).alias("number"))
+    k = numbered(g.withColumn("open", F.col("have").isNull()), ["open"], ["f"])
+    return k.join(F.broadcast(top)).select("user_id", F.coalesce("have", F.col("top") + F.col("k")).alias("number"))  # one row

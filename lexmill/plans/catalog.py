@@ -27,7 +27,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 
 def _load() -> None:
-    from lexmill.plans import chain, corpus, crawl, curation, dedup, derived, evaluation, quality, relational, streams  # noqa: F401
+    from lexmill.plans import chain, corpus, crawl, curation, dedup, derived, evaluation, further, quality, relational, streams  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

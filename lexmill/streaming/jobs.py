@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lexmill.scale import new_folder
@@ -119,6 +120,31 @@ def run_once(df: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{path}/rows")
 
 
+def run_updates(df: DataFrame, key: str) -> DataFrame:
+    """Runs an update-mode stream to its end and returns the newest row of each key.
+
+    Every micro-batch adds the rows it changed under its number, which a batch that runs again overwrites; the reader takes the last number."""
+    spark = df.sparkSession
+    path = new_folder(spark, "stream")
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+
+    q = df.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{path}/rows")
+    rest = [c for c in df.columns if c != key]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("s")).select(key, "s.*")
+
+
+def partial_rows(events: DataFrame, stale: int = 600) -> DataFrame:
+    """user_id, n, last, stale: a live row for each user, told by update-mode batches. A row is stale if its last event lies more than so many seconds
+    before the newest of all."""
+    live = run_updates(events.groupBy("user_id").agg(F.count("*").alias("n"), F.max("ts").alias("last")), "user_id")
+    newest = live.agg(F.max("last").alias("_newest"))
+    return live.join(F.broadcast(newest)).withColumn("stale", F.col("last") < F.col("_newest") - F.make_interval(secs=F.lit(stale))).drop("_newest")  # one row
+
+
 def mirror(events: DataFrame, path: str, key: str = "user_id"):
     """Keeps the newest row of each key: every micro-batch writes the whole table anew under its number, from the one before it.
 

@@ -96,20 +96,27 @@ def mend_word(pieces: str, vocabulary: dict[str, float], longest: int = 24) -> s
     return " ".join(reversed(out))
 
 
+#: Runs of three short pieces or more, as broken words have them.
+_odd = r"\w\u00ad\u200b-\u200d\u2060\ufeff"
+BROKEN_RUN = rf"(?<![{_odd}])[A-Za-z]{{1,4}}(?: [A-Za-z]{{1,4}}){{2,}}(?![{_odd}])"
+
+
 def mend_breaks(text: str, vocabulary: dict[str, float]) -> str:
     """Runs of short pieces that are no words, as bad scans have them, are cut anew."""
     def fix(m: re.Match) -> str:
         parts = m.group().split(" ")
         return m.group() if all(p.lower() in vocabulary for p in parts) else mend_word(m.group(), vocabulary)
 
-    return re.sub(r"\b[A-Za-z]{1,4}(?: [A-Za-z]{1,4}){2,}\b", fix, text)
+    return re.sub(BROKEN_RUN, fix, text)
 
 
 def mended(df: DataFrame, vocabulary: DataFrame, text: str = "text", out: str = "text", words: int = 50_000) -> DataFrame:
-    """df with broken words mended by a vocabulary (word, n). The `words` most frequent words are the model, a documented bound."""
+    """df with broken words mended by a vocabulary (word of a-z, n). Which pieces are words is told by all words of at most four letters, of which
+    there are less than 476,000; how a run is cut anew by these and the `words` most frequent longer ones, a documented bound of the model."""
     import math
 
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(words).collect()
+    short = F.length("word") <= 4
+    top = vocabulary.filter(short).union(vocabulary.filter(~short).orderBy(F.desc("n"), "word").limit(words)).collect()
     total = sum(r["n"] for r in top) or 1
     costs = {r["word"]: -math.log(r["n"] / total) for r in top}
     shared = df.sparkSession.sparkContext.broadcast(costs)

@@ -397,7 +397,13 @@ def lookup_scores(spark, d):
     return lookup(table(spark, d, "works").filter("split = 'heldout'"), table(spark, d, "documents"))[1]
 
 
-@query()
+@query("""
+    WITH q AS (SELECT key, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM works WHERE split = 'heldout' AND text IS NOT NULL), d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+    qg AS (SELECT key, i - 1 AS i, array_to_string(w[i:i + 7], ' ') AS g FROM q, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS i)), dg AS (SELECT doc_id, j - 1 AS j, array_to_string(w[j:j + 7], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS j)),
+    h AS (SELECT DISTINCT key, doc_id, i, j, i - j AS o FROM qg JOIN dg USING (g)), n AS (SELECT *, i - row_number() OVER (PARTITION BY key, doc_id, o ORDER BY i) AS island FROM h),
+    s AS (SELECT key, doc_id, o, min(i) AS from_word, max(i) - min(i) + 8 AS words, min(j) AS doc_from FROM n GROUP BY key, doc_id, o, island)
+    SELECT key, from_word, words, doc_id, doc_from, row_number() OVER (PARTITION BY key, from_word ORDER BY words DESC, doc_id, doc_from) AS rank FROM s QUALIFY rank <= 5
+""")
 def lookup_spans(spark, d):
     from lexmill.operators.lookup import lookup
 

@@ -105,7 +105,10 @@ def mended_breaks(spark, d):
     """Texts whose broken words were mended by the corpus's own vocabulary."""
     english = F.lower(F.element_at(F.split(F.trim("lang"), "[-_]"), 1)) == "en"  # EN, en-EN; of null the language isn't known
     docs = table(spark, d, "documents").filter(F.col("text").isNotNull() & english).select("doc_id", "text")
-    vocabulary = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # a word of the vocabulary stands somewhere outside runs of short pieces, or in five runs: else the pieces of a broken word would be words
+    count = lambda c: docs.select(F.explode(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    outside = count(F.regexp_replace("text", layout.BROKEN_RUN, " ")).select("word", F.lit(True).alias("free"))
+    vocabulary = count(F.col("text")).join(outside, "word", "left").filter("free OR n >= 5").drop("free")
     return layout.mended(docs, vocabulary, out="mended").filter("mended <> text").select("doc_id", "mended")
 
 

@@ -23,8 +23,8 @@ LIMITS = {
     "match_words": 100, "same": 0.75, "same_cover": 0.85, "contained": 0.8, "unit": 0.75, "gap": 300, "spare": 100, "edge": 0.5, "edge_words": 30, "big_words": 800, "big_purity": 0.8,
     "clean": 0.9, "container_clean": 0.5, "most_of": 0.5, "unique": 250, "rough_unique": 1500, "listed": 0.2, "listed_words": 500,
 }
-#: What glues words together, and white space that a unit may consist of.
-GLUE = "['’‘ʼ＇\u00ad\u200b-\u200d\u2060\ufeff\u0300-\u036f]"
+#: What is dropped from words, as the index does it, and white space that a unit may consist of.
+GLUE = "['’]"
 BLANK = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}\x{0b}]"
 
 
@@ -35,7 +35,7 @@ def ws_count(c: Column) -> Column:
 def encode(texts: DataFrame, num: str = "num", text: str = "text", size: int = SIZE) -> DataFrame:
     """num, lines (the non-blank ones: units), unit_words (by white space; 0 for units of signs alone), unit_codes (words for comparison), hashes (of each unit's words, 0 for
     none), runs (hashes of all runs of `size` words over the whole text). Words for comparison are runs of letters and digits in lower case,
-    apostrophes, soft hyphens and marks dropped. Null texts are left out; texts without a word have no runs."""
+    apostrophes dropped; all else only separates them. Null texts are left out; texts without a word have no runs."""
     lines = texts.filter(F.col(text).isNotNull() & F.col(num).isNotNull()).select(F.col(num).alias("num"), F.filter(F.split(text, "\n"), lambda x: F.regexp_replace(x, BLANK, "") != "").alias("lines"))
     tokens = F.transform("lines", lambda x: F.regexp_extract_all(F.regexp_replace(F.lower(x), GLUE, ""), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
     split = lines.select("num", "lines", tokens.alias("t"), F.transform("lines", ws_count).alias("ws"))

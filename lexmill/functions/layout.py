@@ -105,7 +105,12 @@ def mend_breaks(text: str, vocabulary: dict[str, float]) -> str:
     """Runs of short pieces that are no words, as bad scans have them, are cut anew."""
     def fix(m: re.Match) -> str:
         parts = m.group().split(" ")
-        return m.group() if all(p.lower() in vocabulary for p in parts) else mend_word(m.group(), vocabulary)
+        if all(p.lower() in vocabulary for p in parts):
+            return m.group()
+        new = mend_word(m.group(), vocabulary)
+        whole = new.split(" ")
+        # a run of words that aren't known is left alone: only fewer pieces that all are words mend anything
+        return new if len(whole) < len(parts) and all(p.lower() in vocabulary for p in whole) else m.group()
 
     return re.sub(BROKEN_RUN, fix, text)
 

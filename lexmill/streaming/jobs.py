@@ -148,7 +148,8 @@ def partial_rows(events: DataFrame, stale: int = 600) -> DataFrame:
 def mirror(events: DataFrame, path: str, key: str = "user_id"):
     """Keeps the newest row of each key: every micro-batch writes the whole table anew under its number, from the one before it.
 
-    A batch that is run again after a failure writes the same rows to the same place."""
+    A batch that is run again after a failure writes the same rows to the same place; the table before the last one is deleted. For tables too large
+    to be written in every batch, run_updates adds changed rows only and leaves it to the reader to take the newest."""
 
     def put(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -158,5 +159,8 @@ def mirror(events: DataFrame, path: str, key: str = "user_id"):
         rest = [c for c in batch.columns if c not in ("ts", "event_id", key)]
         best = old.unionByName(batch).groupBy(key).agg(F.max(F.struct("ts", "event_id", *rest)).alias("s"))
         best.select(key, "s.*").select(*batch.columns).write.mode("overwrite").parquet(f"{path}/{number}")
+        older = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{number - 2}")
+        if number > 1:
+            older.getFileSystem(spark._jsc.hadoopConfiguration()).delete(older, True)
 
     return events.writeStream.foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()

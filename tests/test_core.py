@@ -293,6 +293,9 @@ class TestLayout:
 
     def test_breaks(self):
         vocabulary = {w: 5.0 for w in "the sailor went home again a".split()}
+        # words that the vocabulary lacks are left alone
+        assert layout.mend_breaks("in one line", {"in": 1.0, "one": 2.0}) == "in one line"
+        assert layout.mend_breaks("he sa w it all", {w: 1.0 for w in "he saw it all".split()}) == "he saw it all"
         assert layout.mend_breaks("the sai lor we nt home", vocabulary) == "the sailor went home" or layout.mend_word("sai lor", vocabulary) == "sailor"
 
     def test_words_tags_quotes_chunks(self, spark):
@@ -437,6 +440,7 @@ class TestStreaming:
         df, folder = self.folder(spark, tmp_path)
         jobs.mirror(jobs.read_events(spark, folder), str(tmp_path / "m")).awaitTermination()
         last = max(int(p.name) for p in (tmp_path / "m").iterdir() if p.name.isdigit())
+        assert sum(p.name.isdigit() for p in (tmp_path / "m").iterdir()) <= 2
         got = {r.user_id: r.event_id for r in spark.read.parquet(str(tmp_path / "m" / str(last))).collect()}
         assert got == {0: 9, 1: 10, 2: 11}
         old, new = (jobs.digests(df.filter(f"event_id < {n}"), "user_id", "event_id", "event_type") for n in (10, 12))

@@ -112,6 +112,58 @@ class TestSiteLines:
         df = spark.createDataFrame([], "source string, path string, text string")
         assert site_lines.repeated_lines(df).count() == 0
 
+    def test_similar_lines_share_a_template(self):
+        def grown(*lines):
+            trees = site_lines.Trees()
+            for line in lines:
+                tokens = site_lines.template_of(line)
+                trees.add("s", {site_lines.digest(tokens): (site_lines.leaf_of(tokens), tokens)})
+            (*_, templates, files) = trees.emit()
+            return list(zip(templates, files, strict=True))
+
+        one = grown("Story 12 by Anna posted on our site", "story 7 by Boris posted on our site", "Story 3 by Boris posted on our site")
+        assert one == [(["story", "0", "by", None, "posted", "on", "our", "site"], 3)]
+        two = grown("story 8 by Anna posted on our wall")
+        assert site_lines.merge(one + two) == [(["story", "0", "by", None, "posted", "on", "our", None], 4)]
+        other = grown("story 8 by no one you could know")
+        assert sorted(n for _, n in site_lines.merge(one + other)) == [1, 3]
+        # what one line could fit is one template, though few tokens are equal
+        assert site_lines.merge([(["a", "b", "c", "d", None, None, None], 2), (["a", "b", "c", None, "e", "f", "g"], 1)]) == [(["a", "b", "c", None, None, None, None], 3)]
+
+    def test_templates_lose_no_line(self, spark):
+        rng = random.Random(11)
+        rows = []
+        for i in range(240):
+            lines = [f"read more stories {' '.join(rng.choice('aaaab') for _ in range(rng.randrange(1, 6)))}" for _ in range(rng.randrange(5))]
+            # more unlike lines than a leaf has templates
+            unlike = [f"read more stories {' '.join(''.join(rng.choices('ghijk', k=3)) for _ in range(5))}" for _ in range(4)]
+            rows.append((rng.choice(["x", "x", "y", None]), f"p{i}", "\n".join([*lines, *unlike, f"own words of {i * 'a'}"])))
+        seen, of = {}, {}
+        for s, p, t in rows:
+            of[s] = of.get(s, 0) + 1
+            for n, line in enumerate(t.split("\n"), 1):
+                seen.setdefault((s, line), set()).add((p, n))
+        least = 5
+        want = {x for (s, line), v in seen.items() for x in v if len({p for p, _ in v}) >= max(least, 0.02 * of[s])}
+        df = spark.createDataFrame(rows, "source string, path string, text string").repartition(5)
+        lines, templates, _ = site_lines.site_templates(df)
+        got = [(r.path, r.line_no) for r in site_lines.repeated_lines(df).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < lines.count()
+        kept = templates.collect()
+        assert any(None in r.template for r in kept) and all(r.files >= max(least, 0.02 * r.of) for r in kept)
+        by_leaf = {}
+        for r in kept:
+            by_leaf.setdefault((r.source, bytes(r.leaf)), []).append(r.template)
+        fits = lambda t, k: all(x is None or x == y for x, y in zip(t, k, strict=True))
+        for (s, line), v in seen.items():
+            k = site_lines.template_of(line)
+            n = sum(fits(t, k) for t in by_leaf.get((s, site_lines.leaf_of(k)), ()))
+            assert n <= 1 and (n == 1 or not v & want)
+
+    def test_words_and_case_as_defined(self):
+        assert site_lines.template_of("① ② ½ Ⅷ") is None and site_lines.template_of("a² b") is None and site_lines.template_of("a²b c") == ["a²b", "c"]
+        assert site_lines.template_of("ΟΔΟΣ İki a") == ["οδοσ", "iki", "a"] != site_lines.template_of("οδος iki a")
+
 
 class TestCanonical:
     @pytest.mark.parametrize(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import tokens
 from lexmill.operators import near, tree
 from lexmill.plans.catalog import query
-from lexmill.scale import stored, table
+from lexmill.scale import small, stored, table
 
 
 def _docs(spark, d):
@@ -54,9 +54,9 @@ _SETS = """
 """)
 def pair_containment(spark, d):
     """Texts of which at least four fifths, in runs of five words, stand in a text that is no shorter."""
-    sets = stored(near.shingle_sets(table(spark, d, "documents"), "doc_id"))
-    heads = near.classes(sets).filter("key = class").select("key")
-    return near.contained_pairs(sets.join(heads, "key", "left_semi"))
+    texts = near.squeezed(table(spark, d, "documents"), "doc_id")
+    marked = stored(near.digests(texts))
+    return near.contained_pairs(texts.join(small(stored(near.copies(marked))), "key", "left_anti"), sizes=marked)
 
 
 _HEADS = "SELECT path, n, line FROM (SELECT path, generate_subscripts(ls, 1) AS n, unnest(ls) AS line FROM (SELECT path, string_split(text, chr(10)) AS ls FROM files WHERE text IS NOT NULL)) WHERE regexp_matches(line, '^[A-Z][^.!?]{4,60}\\z')"

@@ -4,7 +4,9 @@ import io
 import json
 import os
 import random
+import re
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from lexmill import scale
 from lexmill.functions import layout
 from lexmill.functions import text as X
 from lexmill.operators import decide, draw, graph, learn, lookup, near, search, sections
+from lexmill.plans import catalog
 from lexmill.sources import readers, sinks
 from lexmill.streaming import jobs
 
@@ -515,6 +518,50 @@ class TestContainment:
         got = {(r.small, r.large) for r in near.contained_pairs(near.shingle_sets(df, "id")).collect()}
         assert got == want and len(want) > 15
 
+    @staticmethod
+    def brute(texts):
+        sets = {}
+        for i, t in sorted(texts.items()):
+            w = re.findall(r"[^\W_]+", (t or "").lower())
+            s = frozenset(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+            if s and s not in sets.values():
+                sets[i] = s
+        return {(a, b) for a in sets for b in sets if (len(sets[a]), a) < (len(sets[b]), b) and len(sets[a] & sets[b]) >= 0.8 * len(sets[a])}
+
+    def test_stores_and_broadcasts_little(self, spark, tmp_path, monkeypatch):
+        """Texts that share half of their runs, few of which lie in one another: neither sets nor shared runs are stored whole or go to the driver."""
+        rng = random.Random(3)
+        new = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(n))
+        texts = {}
+        for i in range(0, 240, 2):
+            half = new(200)
+            texts |= {i: f"{half} {new(210)}", i + 1: f"{new(205)} {half}"}
+        texts |= {500: texts[0].upper() + "!", 501: " ".join(texts[7].split()[:60]), 502: "one two three four", 503: None, 504: "", 505: " ".join(texts[9].split()[3:8])}
+        spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+        size, seen = (lambda at: sum(p.stat().st_size for p in at.rglob("*.parquet"))), []
+        asked = scale.bytes_of
+        monkeypatch.setattr(scale, "bytes_of", lambda *a, **k: seen.append(asked(*a, **k)) or seen[-1])
+        folder = Path(scale.shared_folder(spark))
+        before = size(folder)
+        got = {(r.small, r.large) for r in catalog.queries()["pair_containment"](spark, str(tmp_path)).collect()}
+        assert got == self.brute(texts) == {(501, 7), (505, 9)}
+        assert seen and max(seen) < 0.05 * size(tmp_path)
+        assert size(folder) - before < 2 * size(tmp_path)
+        assert [tuple(r) for r in catalog.queries()["contained_losers"](spark, str(tmp_path)).orderBy("doc_id").collect()] == [(501, 7), (505, 9)]
+
+    def test_run_of_many_texts(self, spark):
+        """A run that more texts have than fit in a block of holders."""
+        rng = random.Random(8)
+        phrase = " ".join(f"p{i}" for i in range(9))
+        texts = {i: f"{' '.join(words(rng, 12))} {phrase}" for i in range(620)} | {700: phrase, 701: f"{phrase} {phrase.split()[0]}", 702: "Ünder " + phrase.title()}
+        sets = near.squeezed(spark.createDataFrame(list(texts.items()), "id long, text string"), "id")
+        got = {(r.small, r.large) for r in near.contained_pairs(sets.join(near.copies(scale.stored(near.digests(sets))), "key", "left_anti")).collect()}
+        assert got == self.brute(texts) and len([a for a, _ in got if a == 700]) > near.PAIR_BLOCK
+
+    def test_empty(self, spark):
+        none = near.squeezed(spark.createDataFrame([(1, None), (2, "a b")], "id long, text string"), "id")
+        assert near.contained_pairs(none).collect() == []
+
 
 class TestRanges:
     def test_numbers_and_carried_values(self, spark):
